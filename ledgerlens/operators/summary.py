@@ -53,12 +53,14 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     df = df.withColumn("year", F.year("created_at"))                       # E2
 
     days = customer_days(df)
-    # E4/E5 from the day table: interval is the day gap on the first row of
-    # each day and 0 on the others, so its sums come from the gaps alone.
-    cust = days.groupBy(TENANT, "email").agg(
-        F.min("created_at").alias("min"), F.max("created_at").alias("max"),
-        F.sum("_ll_rows").alias("len"), F.sum("_ll_gap").alias("_ll_s"),
-        F.sum(F.col("_ll_gap") * F.col("_ll_gap")).alias("_ll_q"))
+    # E4/E5 over the customer's days (a window bounded by the number of
+    # purchase days): interval is the day gap on the first row of each day
+    # and 0 on the others, so its sums come from the gaps alone.
+    cust = Window.partitionBy(TENANT, "email")
+    days = days.withColumns({
+        "min": F.min("created_at").over(cust), "max": F.max("created_at").over(cust),
+        "len": F.sum("_ll_rows").over(cust), "_ll_s": F.sum("_ll_gap").over(cust),
+        "_ll_q": F.sum(F.col("_ll_gap") * F.col("_ll_gap")).over(cust)})
     n = F.col("len").cast("double")
     s = F.col("_ll_s").cast("double")
     # sample variance (n*Q - S^2) / (n(n-1)) in exact integer arithmetic
@@ -68,15 +70,14 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     std = F.when(F.col("len") > 1,
                  F.sqrt(num.cast("double") / den.cast("double"))).otherwise(F.lit(None))
     last_day = df.groupBy(TENANT).agg(F.max("just_date").alias("_ll_last"))    # E11
-    cust = (cust.join(last_day, TENANT)
-            .withColumn("mean", s / n)
-            .withColumn("std_", F.coalesce(F.lit(STD_FACTOR) * std, F.lit(0.0)))
-            .withColumn("diff", F.datediff("max", "min").cast("double"))      # E9
-            .withColumn("avg_day", F.col("diff") / n)                         # E10
-            .withColumn("avg_metric", F.col("avg_day") * 2)
-            .withColumn("recent_order", F.datediff("_ll_last", "max").cast("bigint"))
-            .drop("_ll_s", "_ll_q", "_ll_last"))
-    day_stats = days.join(cust, [TENANT, "email"])
+    day_stats = (days.join(last_day, TENANT)
+                 .withColumn("mean", s / n)
+                 .withColumn("std_", F.coalesce(F.lit(STD_FACTOR) * std, F.lit(0.0)))
+                 .withColumn("diff", F.datediff("max", "min").cast("double"))      # E9
+                 .withColumn("avg_day", F.col("diff") / n)                         # E10
+                 .withColumn("avg_metric", F.col("avg_day") * 2)
+                 .withColumn("recent_order", F.datediff("_ll_last", "max").cast("bigint"))
+                 .drop("_ll_s", "_ll_q", "_ll_last", "_ll_rows"))
 
     out = df.join(day_stats, [TENANT, "email", "created_at"])
     out = out.withColumn(                                                     # E3

@@ -23,7 +23,7 @@ from ..operators import vendor as V
 from ..operators.churn_gap import gap_churn
 from ..operators.sales import clean_sales
 from ..operators.summary import sales_summary
-from ..session import TENANT
+from ..session import TENANT, materialize
 from ..sources import sinks as K
 from ..sources import standins as S
 from ..sources.extract import order_extract, purchase_extract
@@ -40,20 +40,23 @@ Z_DIGITS = 8                    # published z-scores
 
 
 # -- shared inputs -------------------------------------------------------------
+# The reference stores sales, sales_summary, purchase_order and
+# vendor_spend_analysis as tables that several jobs read; queries built on
+# them start from a materialized copy (reliable checkpoint) the same way.
 def _sales(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
-    return clean_sales(S.raw_orders(spark, sf, multi_tenant=multi))
+    return materialize(clean_sales(S.raw_orders(spark, sf, multi_tenant=multi)))
 
 
-def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    return sales_summary(_sales(spark, sf))
+def _summary(spark: SparkSession, sf: str, sales: DataFrame | None = None) -> DataFrame:
+    return materialize(sales_summary(sales if sales is not None else _sales(spark, sf)))
 
 
 def _po(spark: SparkSession, sf: str) -> DataFrame:
-    return S.purchase_order(spark, sf)
+    return materialize(S.purchase_order(spark, sf))
 
 
 def _vsa(spark: SparkSession, sf: str) -> DataFrame:
-    return V.vendor_spend_analysis(_po(spark, sf))
+    return materialize(V.vendor_spend_analysis(_po(spark, sf)))
 
 
 # -- sources and loading ---------------------------------------------------------
@@ -208,13 +211,13 @@ def q_rfm_scores(spark, sf):
 def q_rfm_segments(spark, sf):
     """The rfm table without the cluster column."""
     sales = _sales(spark, sf)
-    return publish(R.rfm_table(sales, sales_summary(sales), clusters=False))
+    return publish(R.rfm_table(sales, _summary(spark, sf, sales), clusters=False))
 
 
 def q_rfm_one(spark, sf):
     """R2 + R1-R16 on the trailing 365 days."""
     sales = _sales(spark, sf)
-    return publish(R.rfm_table(sales, sales_summary(sales), TRAILING_DAYS, clusters=False))
+    return publish(R.rfm_table(sales, _summary(spark, sf, sales), TRAILING_DAYS, clusters=False))
 
 
 def q_rfm_clusters(spark, sf):
@@ -238,14 +241,14 @@ def q_rfm_quadrants(spark, sf):
 def q_cardinality_check(spark, sf):
     """Emails occurring more than once in rfm (expected: none)."""
     sales = _sales(spark, sf)
-    rfm = R.rfm_table(sales, sales_summary(sales), clusters=False)
+    rfm = R.rfm_table(sales, _summary(spark, sf, sales), clusters=False)
     return R.cardinality_violations(rfm, [TENANT, "email"])
 
 
 def q_summ_rfm(spark, sf):
     """J1."""
     sales = _sales(spark, sf)
-    summ = sales_summary(sales)
+    summ = _summary(spark, sf, sales)
     return publish(R.summary_with_segments(R.rfm_table(sales, summ, clusters=False), summ))
 
 

@@ -23,6 +23,9 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # small enough that only dimension-sized sides are broadcast from
+        # file statistics; AQE still broadcasts measured-small shuffle outputs
+        .config("spark.sql.autoBroadcastJoinThreshold", str(4 * 1024 * 1024))
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -53,3 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...)")
+
+
+def materialize(df):
+    """Write ``df`` once to the reliable checkpoint folder and read it back.
+
+    Used where the reference stores a table that several jobs read
+    (``sales``, ``sales_summary``, ...): downstream plans start from the
+    written files instead of recomputing, and the lineage is cut, so a lost
+    executor only costs re-reading those files.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
