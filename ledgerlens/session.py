@@ -23,6 +23,8 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # checkpoint files of collected DataFrames are removed, not left behind
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # small enough that only dimension-sized sides are broadcast from
         # file statistics; AQE still broadcasts measured-small shuffle outputs
         .config("spark.sql.autoBroadcastJoinThreshold", str(4 * 1024 * 1024))
