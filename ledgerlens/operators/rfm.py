@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.labels import order_count_label, quadrant_of, reverse_score, segment_of
 from ..functions.rounding import half_even, money_sum
@@ -124,24 +125,75 @@ RFM_COLUMNS = [TENANT, "email", "recency", "frequency", "monetary", "frequency_l
                "cust_segment", "quad_segment", "f_label", "avg_order_value", "min_c", "max_c"]
 
 
-def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 1) -> DataFrame:
-    """K-means (k=4, seed 1) on the standardised logs, one model per tenant.
-
-    Each fit is a distributed ``pyspark.ml`` job; only the tenant keys reach
-    the driver. Cluster numbers are arbitrary labels.
+LOCAL_KMEANS_MAX_ROWS = 200_000   # customers per tenant clustered inside one task
+KMEANS_MAX_ITER = 100
+
+
+def _kmeans_numpy(x: "np.ndarray", k: int, seed: int) -> "np.ndarray":
+    """Lloyd's algorithm with k-means++ seeding on one tenant's customers."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    n = len(x)
+    k = min(k, n)
+    centers = [x[rng.integers(n)]]
+    for _ in range(1, k):
+        d2 = np.min(((x[:, None, :] - np.asarray(centers)[None]) ** 2).sum(-1), axis=1)
+        total = d2.sum()
+        centers.append(x[rng.integers(n)] if total == 0 else x[rng.choice(n, p=d2 / total)])
+    c = np.asarray(centers)
+    labels = np.zeros(n, dtype=np.int64)
+    for it in range(KMEANS_MAX_ITER):
+        new = ((x[:, None, :] - c[None]) ** 2).sum(-1).argmin(axis=1)
+        if it and np.array_equal(new, labels):
+            break
+        labels = new
+        for j in range(k):
+            members = x[labels == j]
+            if len(members):
+                c[j] = members.mean(axis=0)
+    return labels
+
+
+def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 1,
+                 max_local_rows: int = LOCAL_KMEANS_MAX_ROWS) -> DataFrame:
+    """K-means (k=4, seed 1) on the standardised logs, per tenant.
+
+    Tenant sizes are counted first. Tenants with at most ``max_local_rows``
+    customers are clustered together in one grouped job (``applyInPandas``,
+    each group bounded by that check); a larger tenant gets a distributed
+    ``pyspark.ml`` KMeans fit of its own. Cluster numbers are arbitrary labels.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    feats = VectorAssembler(inputCols=SCALED, outputCol="_ll_features").transform(scaled)
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    tenants = [r[0] for r in feats.select(TENANT).distinct().collect()]
+    import numpy as np
+    import pandas as pd
+
+    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r[0]: r[1] for r in scaled.groupBy(TENANT).count().collect()}  # one row per tenant
+    small = sorted(t for t, n in sizes.items() if n <= max_local_rows)
+    large = sorted(t for t, n in sizes.items() if n > max_local_rows)
+    out_schema = StructType(scaled.schema.fields + [StructField("cluster", IntegerType())])
     parts = []
-    for t in sorted(tenants):
-        part = feats.filter(F.col(TENANT) == t)
-        model = KMeans(k=k, seed=seed, featuresCol="_ll_features",
-                       predictionCol="cluster").fit(part)
-        parts.append(model.transform(part).drop("_ll_features"))
+    if small:
+        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("email").reset_index(drop=True)
+            x = pdf[SCALED].to_numpy(dtype=float)
+            pdf["cluster"] = _kmeans_numpy(x, k, seed).astype("int32")
+            return pdf
+
+        parts.append(scaled.filter(F.col(TENANT).isin(small))
+                     .groupBy(TENANT).applyInPandas(fit, out_schema))
+    if large:
+        from pyspark.ml.clustering import KMeans
+        from pyspark.ml.feature import VectorAssembler
+
+        feats = VectorAssembler(inputCols=SCALED, outputCol="_ll_features").transform(
+            scaled.filter(F.col(TENANT).isin(large)))
+        for t in large:
+            part = feats.filter(F.col(TENANT) == t)
+            model = KMeans(k=k, seed=seed, featuresCol="_ll_features",
+                           predictionCol="cluster").fit(part)
+            parts.append(model.transform(part).drop("_ll_features")
+                         .withColumn("cluster", F.col("cluster").cast("int")))
     if not parts:
         return scaled.withColumn("cluster", F.lit(None).cast("int"))
     return reduce(DataFrame.unionByName, parts)

@@ -226,6 +226,12 @@ def q_rfm_clusters(spark, sf):
     return R.rfm_clusters(R.rfm_scaled(R.rfm_base(sales))).select(TENANT, "email", "cluster")
 
 
+def q_tenant_rfm_clusters(spark, sf):
+    """R8 (rows-only) for every tenant in one grouped job."""
+    sales = _sales(spark, sf, multi=True)
+    return R.rfm_clusters(R.rfm_scaled(R.rfm_base(sales))).select(TENANT, "email", "cluster")
+
+
 def rfm_quadrants(sales: DataFrame) -> DataFrame:
     """Minimum slice: customers and spend per quadrant."""
     scores = R.rfm_scores(R.rfm_base(sales))

@@ -13,7 +13,8 @@ def test_all_queries_match_oracle(spark):
     bad = {k: v for k, v in res.items() if v != "ok" and not v.startswith("rows-only")}
     assert not bad, bad
     rows_only = {k for k, v in res.items() if v.startswith("rows-only")}
-    assert rows_only == {"rfm_clusters", "sales_forecast", "churn_forecast", "order_forecast"}
+    assert rows_only == {"rfm_clusters", "tenant_rfm_clusters", "sales_forecast",
+                         "churn_forecast", "order_forecast"}
 
 
 def test_entry_smoke(spark):

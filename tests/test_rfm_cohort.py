@@ -52,9 +52,25 @@ def test_rfm_properties(spark):
 
 def test_rfm_clusters_one_label_per_customer(spark):
     rows = [{"ship2_email_address": f"e{i % 29}@x", "date_created": ts("2020-01-01") + dt.timedelta(days=i % 40),
-             "order_no": i, "unit_price": float(1 + (i * 5) % 17)} for i in range(300)]
-    cl = R.rfm_clusters(R.rfm_scaled(R.rfm_base(_sales(spark, rows)))).collect()
-    assert len(cl) == 29 and {r.cluster for r in cl} <= {0, 1, 2, 3}
+             "order_no": i, "unit_price": float(1 + (i * 5) % 17),
+             "company_id": "t0" if i % 3 else "t1"} for i in range(300)]
+    scaled = R.rfm_scaled(R.rfm_base(_sales(spark, rows)))
+    n = scaled.count()
+    for limit in (10**6, 0):               # grouped local fits, then distributed fits
+        cl = R.rfm_clusters(scaled, max_local_rows=limit).collect()
+        assert len(cl) == n and len({(r.company_id, r.email) for r in cl}) == n
+        assert {r.cluster for r in cl} <= {0, 1, 2, 3}
+        assert len({r.cluster for r in cl if r.company_id == "t0"}) == 4
+
+
+def test_kmeans_numpy_separates_blobs():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    centers = np.array([[0, 0, 0], [10, 0, 0], [0, 10, 0], [0, 0, 10]], dtype=float)
+    x = np.concatenate([c + rng.normal(0, 0.5, (50, 3)) for c in centers])
+    labels = R._kmeans_numpy(x, 4, 1)
+    assert all(len(set(labels[i * 50:(i + 1) * 50])) == 1 for i in range(4))
+    assert len(set(labels)) == 4
 
 
 def _cohort_rows(spark, spec):
