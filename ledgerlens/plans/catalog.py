@@ -47,16 +47,17 @@ def _sales(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
     return materialize(clean_sales(S.raw_orders(spark, sf, multi_tenant=multi)))
 
 
-def _summary(spark: SparkSession, sf: str, sales: DataFrame | None = None) -> DataFrame:
-    return materialize(sales_summary(sales if sales is not None else _sales(spark, sf)))
+def _summary(spark: SparkSession, sf: str, sales: DataFrame | None = None,
+             multi: bool = False) -> DataFrame:
+    return materialize(sales_summary(sales if sales is not None else _sales(spark, sf, multi)))
 
 
-def _po(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(S.purchase_order(spark, sf))
+def _po(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
+    return materialize(S.purchase_order(spark, sf, multi_tenant=multi))
 
 
-def _vsa(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(V.vendor_spend_analysis(_po(spark, sf)))
+def _vsa(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
+    return materialize(V.vendor_spend_analysis(_po(spark, sf, multi)))
 
 
 # -- sources and loading ---------------------------------------------------------
@@ -143,6 +144,37 @@ def q_tenant_sales(spark, sf):
     return publish(_sales(spark, sf, multi=True))
 
 
+def q_schema_conform(spark, sf):
+    """The loaded raw_orders cast to its declared schema."""
+    from ..schemas import RAW_ORDERS, conform
+    return conform(S.raw_orders(spark, sf, with_index=True, cutoff=HISTORY_CUTOFF), RAW_ORDERS)
+
+
+# -- every job for all tenants at once (I10) -------------------------------------
+def q_tenant_sales_summary(spark, sf):
+    return publish(_summary(spark, sf, multi=True))
+
+
+def q_tenant_rfm_segments(spark, sf):
+    sales = _sales(spark, sf, multi=True)
+    return publish(R.rfm_table(sales, _summary(spark, sf, sales), clusters=False))
+
+
+def q_tenant_cohort_year(spark, sf):
+    m = H.YEAR_MONTHS
+    return H.cohort_counts(H.cohort_data(_sales(spark, sf, multi=True), m), m)
+
+
+def q_tenant_vendor_deals(spark, sf):
+    return V.vendor_deals(_vsa(spark, sf, multi=True))
+
+
+def q_tenant_order_forecast(spark, sf):
+    """F9 for every tenant in one grouped job (rows-only)."""
+    daily = FS.densify(FS.daily_orders(_summary(spark, sf, multi=True)))
+    return FC.forecast(FC.forecast_features(FS.future_frame(daily)))
+
+
 def _events_calendar(spark, sf):
     ev = S.read_table(spark, sf, "events").select("event_id", "ts")
     return add_calendar(ev, "ts")

@@ -575,6 +575,17 @@ def build() -> dict[str, str]:
     SS = [O, SL, SUMMARY]
     q: dict[str, str] = {}
     # sources and loading
+    q["schema_conform"] = with_(O) + f""" SELECT *, row_number() OVER (PARTITION BY company_id
+        ORDER BY {order_by(ORDER_COLS + ['price'])}) - 1 AS "index"
+        FROM raw_orders WHERE date_created >= TIMESTAMP '{HISTORY_CUTOFF}'"""
+    # every job for all tenants at once
+    OM, PM = order_tables(True), purchase_tables(True)
+    q["tenant_sales_summary"] = (with_(OM, SL, SUMMARY) +
+                                 f" SELECT {publish_cols(SALES_COLS + SUMMARY_EXTRA, SUMMARY_DATES)} FROM sales_summary")
+    q["tenant_rfm_segments"] = (with_(OM, SL, SUMMARY, rfm_base_sql(), RFM_SCORES, segment_case(), RFM_TABLE)
+                                + f" SELECT {publish_cols(RFM_COLS, {'min_c', 'max_c'})} FROM rfm")
+    q["tenant_cohort_year"] = with_(OM, SL, cohort_sql(12), cohort_counts_sql(12)) + " SELECT * FROM cohort_counts"
+    q["tenant_vendor_deals"] = with_(PM, VENDOR) + " SELECT * FROM vendor_deals"
     q["order_extract"] = with_(O) + " SELECT * FROM order_extract"
     q["purchase_extract"] = with_(P) + """ SELECT *, unit_price * qty_ordered AS price,
         CAST(year(date_created) AS INTEGER) AS year FROM purchase_extract"""

@@ -14,7 +14,7 @@ def test_all_queries_match_oracle(spark):
     assert not bad, bad
     rows_only = {k for k, v in res.items() if v.startswith("rows-only")}
     assert rows_only == {"rfm_clusters", "tenant_rfm_clusters", "sales_forecast",
-                         "churn_forecast", "order_forecast"}
+                         "churn_forecast", "order_forecast", "tenant_order_forecast"}
 
 
 def test_entry_smoke(spark):
