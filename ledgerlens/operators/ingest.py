@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import timestamp_of
-from ..session import TENANT
+from ..session import TENANT, per_tenant
 from ..sources.extract import with_line_amount
 from .ordering import global_row_number
 
@@ -48,7 +48,7 @@ def surrogate_index(df: DataFrame, order: Sequence[str], start: DataFrame | None
     """
     numbered = global_row_number(df, order, [TENANT], "_ll_rn")
     if start is not None:
-        numbered = numbered.join(start, TENANT, "left")
+        numbered = numbered.join(per_tenant(start), TENANT, "left")
     else:
         numbered = numbered.withColumn("next_index", F.lit(None).cast("bigint"))
     return numbered.withColumn(
@@ -72,7 +72,7 @@ def incremental_delta(source: DataFrame, target: DataFrame, key: str) -> DataFra
     to an already pulled key are not picked up (same as the reference).
     """
     wm = watermark(target, key, "_ll_wm")
-    return (source.join(wm, TENANT, "left")
+    return (source.join(per_tenant(wm), TENANT, "left")
             .filter(F.col("_ll_wm").isNull() | (F.col(key) > F.col("_ll_wm")))
             .drop("_ll_wm"))
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.labels import order_count_label, quadrant_of, reverse_score, segment_of
 from ..functions.rounding import half_even, money_sum
-from ..session import TENANT
+from ..session import TENANT, per_tenant
 from .ordering import global_row_number
 
 LOGS = ["recency_log", "frequency_log", "monetary_log"]
@@ -29,7 +29,7 @@ def rfm_base(sales: DataFrame, trailing_days: int | None = None) -> DataFrame:
     df = sales.select(TENANT, "customer_id", "email", "just_date", "order_id", "total")
     if trailing_days is not None:                                     # R2
         last = df.groupBy(TENANT).agg(F.max("just_date").alias("_ll_max"))
-        df = (df.join(last, TENANT)
+        df = (df.join(per_tenant(last), TENANT)
               .filter(F.col("just_date") >= F.date_sub("_ll_max", trailing_days))
               .drop("_ll_max"))
     df = df.filter(F.col("customer_id").isNotNull() & F.col("order_id").isNotNull()
@@ -39,7 +39,7 @@ def rfm_base(sales: DataFrame, trailing_days: int | None = None) -> DataFrame:
         F.max("just_date").alias("_ll_last"),
         F.count("order_id").alias("frequency"),
         money_sum("total").alias("monetary"))
-    per = (per.join(ref, TENANT)
+    per = (per.join(per_tenant(ref), TENANT)
            .withColumn("recency", F.datediff("_ll_ref", "_ll_last").cast("bigint"))
            .drop("_ll_ref", "_ll_last"))
     per = per.filter(F.col("monetary") != 0)                          # R5
@@ -57,7 +57,7 @@ def rfm_scaled(base: DataFrame) -> DataFrame:
     stats = base.groupBy(TENANT).agg(
         *[F.avg(c).alias(f"_ll_mu_{c}") for c in LOGS],
         *[F.stddev_pop(c).alias(f"_ll_sd_{c}") for c in LOGS])
-    out = base.join(stats, TENANT)
+    out = base.join(per_tenant(stats), TENANT)
     for c, z in zip(LOGS, SCALED):
         sd = F.col(f"_ll_sd_{c}")
         out = out.withColumn(z, (F.col(c) - F.col(f"_ll_mu_{c}"))
@@ -79,10 +79,13 @@ def _rank_bin(rank: str, n: str) -> F.Column:
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """R, F, M quartile scores (1 = best) and the RFM code."""
+    # exact percentile keeps a count per distinct value and merges partial
+    # maps: recency is a whole number of days, so a tenant's state is bounded
+    # by the length of its history, not by its number of customers
     q = base.groupBy(TENANT).agg(
         F.percentile("recency", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_ll_q"),
         F.count(F.lit(1)).alias("_ll_n"))
-    df = base.join(q, TENANT)
+    df = base.join(per_tenant(q), TENANT)
     df = global_row_number(df, ["frequency", "email"], [TENANT], "_ll_rf")
     df = global_row_number(df, ["monetary", "email"], [TENANT], "_ll_rm")
     rec = F.col("recency")

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import last_full_month_end
 from ..functions.rounding import money_sum
-from ..session import TENANT
+from ..session import TENANT, per_tenant
 
 HORIZON = 90
 
 
 def _full_months(df: DataFrame) -> DataFrame:
     cut = df.groupBy(TENANT).agg(last_full_month_end(F.max("ds")).alias("_ll_cut"))
-    return df.join(cut, TENANT).filter(F.col("ds") <= F.col("_ll_cut")).drop("_ll_cut")
+    return df.join(per_tenant(cut), TENANT).filter(F.col("ds") <= F.col("_ll_cut")).drop("_ll_cut")
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.labels import CHURN, WIN_BACK, order_count_label
-from ..session import TENANT
+from ..session import TENANT, per_tenant
 from .sales import IDENTITY
 
 # Total order inside a customer's day (D1): timestamp, order, item, rest of row.
@@ -70,7 +70,7 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     std = F.when(F.col("len") > 1,
                  F.sqrt(num.cast("double") / den.cast("double"))).otherwise(F.lit(None))
     last_day = df.groupBy(TENANT).agg(F.max("just_date").alias("_ll_last"))    # E11
-    day_stats = (days.join(last_day, TENANT)
+    day_stats = (days.join(per_tenant(last_day), TENANT)
                  .withColumn("mean", s / n)
                  .withColumn("std_", F.coalesce(F.lit(STD_FACTOR) * std, F.lit(0.0)))
                  .withColumn("diff", F.datediff("max", "min").cast("double"))      # E9

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import (CONTRACT, FIRST_YEAR, PO, PO_CLASS, RANGE_SELECTION,
                                 SPEND_CLASS, VENDOR_CLASS)
 from ..functions.rounding import from_micros, half_even, micros_sum, money_avg, money_sum
-from ..session import TENANT
+from ..session import TENANT, per_tenant
 from .ordering import global_row_number, global_running_sum
 
 ITEM = "item_description"
@@ -55,7 +55,7 @@ def item_spend(po: DataFrame) -> DataFrame:
         F.coalesce(micros_sum("price"), F.lit(0).cast("decimal(38,0)")).alias("_ll_spend"))
     total = items.groupBy(TENANT).agg(F.sum("_ll_spend").alias("_ll_total"))
     ranked = global_running_sum(items, "_ll_spend", ["_ll_spend", ITEM], [TENANT], "_ll_cum")
-    ranked = ranked.join(total, TENANT)
+    ranked = ranked.join(per_tenant(total), TENANT)
     share = F.when(F.col("_ll_total") != 0, half_even(
         F.lit(100.0) * (from_micros(F.col("_ll_cum")) / from_micros(F.col("_ll_total"))), 2))
     return ranked.select(TENANT, ITEM, from_micros(F.col("_ll_spend")).alias("spend"),

@@ -4,11 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TENANT = "company_id"
 
 
+def per_tenant(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a frame with at most one row per ``company_id``.
+
+    Such a frame (a tenant's max date, quartiles, watermark, ...) is bounded
+    by the number of registered companies, not by the data. Broadcasting it
+    lets the large side join it on ``company_id`` where it stands; a hash
+    exchange on a handful of tenant keys would instead move every row of a
+    tenant into one task.
+    """
+    return F.broadcast(df)
+
+
 def get_session(master: str | None = None, app: str = "ledgerlens",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Session with AQE (coalescing + skew join) and no web UI."""

@@ -2,8 +2,8 @@
 
     python tools_plans.py [sf_dir] [name ...]
 
-Runs each query through the ``noop`` sink, then counts the operators of its
-final plan: exchanges by kind, join and aggregate strategies, windows,
+Executes each query's own plan (counting rows JVM-side, nothing is collected),
+then counts the operators of its final adaptive plan: exchanges by kind, join and aggregate strategies, windows,
 Python nodes, and the parquet scans with their pushed filters.
 """
 
@@ -21,7 +21,7 @@ NODES = ["BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNes
 def summarize(plan: str) -> dict:
     c = Counter()
     for line in plan.splitlines():
-        s = line.strip(" :+-")
+        s = re.sub(r"^\*\(\d+\)\s*", "", line.strip(" :+-"))   # codegen stage prefix
         m = re.match(r"(\w+)", s)
         if not m:
             continue
@@ -48,8 +48,9 @@ def main() -> None:
     spark = get_session("local[8]", shuffle_partitions=16)
     for name in names:
         df = QUERIES[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()        # runs this plan, so AQE fixes its final form
+        plan = qe.executedPlan().toString().split("== Initial Plan ==")[0]
         s = summarize(plan)
         print(f"{name}: {s['ops']}")
         for n, pf in s["scans"]:
