@@ -14,17 +14,19 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 def _run(spark, sf_dir):
     from ledgerlens.plans.refresh import Warehouse, refresh
+    from ledgerlens.session import ensure_checkpoint_dir
     from ledgerlens.sources import standins as S
 
-    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ledgerlens-bench-"))
+    # a fresh warehouse under the session's (shared) checkpoint folder
+    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/bench-{uuid.uuid4().hex}")
     start = time.perf_counter()
     raw = wh.write("raw_orders", lambda: S.raw_orders(spark, sf_dir, with_index=True))
     po = wh.write("purchase_order", lambda: S.purchase_order(spark, sf_dir, with_index=True))
