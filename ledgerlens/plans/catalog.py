@@ -42,7 +42,7 @@ Z_DIGITS = 8                    # published z-scores
 # -- shared inputs -------------------------------------------------------------
 # The reference stores sales, sales_summary, purchase_order and
 # vendor_spend_analysis as tables that several jobs read; queries built on
-# them start from a materialized copy (reliable checkpoint) the same way.
+# them start from a copy written once under the checkpoint folder the same way.
 def _sales(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
     return materialize(clean_sales(S.raw_orders(spark, sf, multi_tenant=multi)))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,13 +74,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...)")
 
 
-def materialize(df):
-    """Write ``df`` once to the reliable checkpoint folder and read it back.
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as parquet under the reliable checkpoint folder and
+    read it back.
 
     Used where the reference stores a table that several jobs read
     (``sales``, ``sales_summary``, ...): downstream plans start from the
-    written files instead of recomputing, and the lineage is cut, so a lost
-    executor only costs re-reading those files.
+    written files instead of recomputing, the lineage is cut (a lost executor
+    only costs re-reading those files), and, unlike an RDD checkpoint, each
+    consumer's scan reads only its columns and takes its pushed filters.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
