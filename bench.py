@@ -25,8 +25,9 @@ def _run(spark, sf_dir):
     from ledgerlens.session import ensure_checkpoint_dir
     from ledgerlens.sources import standins as S
 
-    # a fresh warehouse under the session's (shared) checkpoint folder
-    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/bench-{uuid.uuid4().hex}")
+    # a fresh warehouse in the session's shared checkpoint folder, beside (not
+    # inside) this application's checkpoint files
+    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}-warehouse/bench-{uuid.uuid4().hex}")
     start = time.perf_counter()
     raw = wh.write("raw_orders", lambda: S.raw_orders(spark, sf_dir, with_index=True))
     po = wh.write("purchase_order", lambda: S.purchase_order(spark, sf_dir, with_index=True))
