@@ -1,5 +1,7 @@
 """Scale guards on the physical plans of the registered queries."""
 
+import re
+
 import pytest
 
 from ledgerlens.plans.catalog import QUERIES
@@ -32,3 +34,37 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in plan.replace("\n", " ") or \
         "l_comment" not in plan
     assert "PushedFilters" in plan
+
+
+TENANT_JOINED = ["gap_churn", "rfm_segments", "rfm_one", "cohort_year", "daily_sales",
+                 "vendor_deals", "incremental_orders", "sales_summary"]
+
+
+def _final_plan(df):
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()    # run this plan so AQE settles its final form
+    return qe.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", TENANT_JOINED)
+def test_rows_are_not_shuffled_on_the_tenant_key_alone(spark, name):
+    """Per-tenant scalars are broadcast; a hash exchange on ``company_id``
+    alone may only carry pre-aggregated rows (one per tenant)."""
+    # as on large inputs: no broadcast from size estimates, only from hints
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _final_plan(QUERIES[name](spark, SF)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for i, line in enumerate(lines):
+        if re.search(r"Exchange hashpartitioning\(company_id#\d+, \d+\)", line):
+            child = re.sub(r"^[\s:+\-*()\d]*", "", lines[i + 1])
+            assert child.startswith(("HashAggregate", "ObjectHashAggregate")), (name, child)
+
+
+def test_consumers_of_materialized_tables_prune_columns(spark):
+    """``materialize`` writes parquet, so a 3-column consumer reads 3 columns."""
+    plan = _final_plan(QUERIES["daily_sales"](spark, SF))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert scans and all(len(cols.split(",")) <= 3 for cols in scans), scans
