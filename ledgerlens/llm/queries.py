@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_vectors, ngram_join, quality_rules, url_filter
+from . import html_text, near_vectors, ngram_join, packing, quality_knn, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary file (installed on every node)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 #: Fixed rules of the URL query: (host, path, verdict).
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -34,9 +40,23 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, rules).drop("url")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.html_text(table(spark, sf_dir, "pages"))
+
+
+def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), keep_ids=False))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_url_filter, op8_near_vectors)}
+    f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_url_filter, op6_html_text,
+                              op7_quality_knn, op8_near_vectors, op9_packing)}
