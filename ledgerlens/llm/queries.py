@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, near_vectors, ngram_join, packing, quality_knn, quality_rules, url_filter
+from . import html_text, near_vectors, ngram_join, packing, pii, quality_knn, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), keep_ids=False))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_url_filter, op6_html_text,
-                              op7_quality_knn, op8_near_vectors, op9_packing)}
+                              op7_quality_knn, op8_near_vectors, op9_packing, op10_pii)}

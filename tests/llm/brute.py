@@ -76,3 +76,30 @@ def near_vectors(rows, threshold=0.9):
     for i, (vec_id, _) in enumerate(rows):
         out.append((vec_id, n[i], comp[vec_id]))
     return out
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        x = int(c) * (2 if k % 2 else 1)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def base_spans(text):
+    """[(start, kind number, kind, end)] of the base patterns."""
+    text, out = text or "", []
+    kinds = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    for number, (kind, pattern) in enumerate(kinds.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub(r"[^0-9]", "", m[0])
+            good = {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in m[0].split(".")),
+                    "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}
+            if good[kind]:
+                out.append((m.start(), number, kind, m.end()))
+    return sorted(out)
