@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, near_vectors, ngram_join, packing, pii, quality_knn, quality_rules, url_filter
+from . import (
+    html_text,
+    line_dedup,
+    near_vectors,
+    ngram_join,
+    packing,
+    pii,
+    quality_knn,
+    quality_rules,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +50,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, rules).drop("url")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.html_text(table(spark, sf_dir, "pages"))
 
@@ -62,5 +76,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_url_filter, op6_html_text,
+    f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_html_text,
                               op7_quality_knn, op8_near_vectors, op9_packing, op10_pii)}
