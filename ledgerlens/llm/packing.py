@@ -223,4 +223,4 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
             .where("_rank >= _from AND _rank < _to")
             .withColumn("sequence_id", F.col("_bin") + F.floor(at / F.col("_per")))
             .withColumn("offset", F.col("_offset") + F.pmod(at, F.col("_per")) * F.col("length"))
-            .drop("_salt", "_before", "_rank", "_from", "_to", "_per", "_bin", "_offset"))
+            .select(*(F.col(f"p.{c}") for c in pieces.columns), "sequence_id", "offset"))

@@ -39,6 +39,7 @@ NEIGHBOURS = 15
 SHARPNESS = 4       # votes are weighted with similarity ** SHARPNESS
 FOLDS = 5
 LIMIT = 0.3
+SCORE = "quality_score"
 BLOCK = 128
 
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -70,8 +71,8 @@ def _terms(texts: list[bytes]) -> np.ndarray:
     return np.log1p(np.concatenate([tf, traits], axis=1)).astype(np.float32)
 
 
-def _blocks(batch: pa.RecordBatch):
-    for rows, texts in chunks(batch, "text"):
+def _blocks(batch: pa.RecordBatch, column: str = "text"):
+    for rows, texts in chunks(batch, column):
         for k in range(0, len(texts), BLOCK):
             yield rows.slice(k, BLOCK), _terms(texts[k:k + BLOCK])
 
@@ -116,11 +117,12 @@ def vote(latent: np.ndarray, known: np.ndarray, labels: np.ndarray) -> np.ndarra
 def _scorer(space: np.ndarray, known: np.ndarray, labels: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, x in _blocks(batch):
+            for rows, x in _blocks(batch, "_text"):
                 out = np.full(len(x), 0.5) if not len(known) else vote(_unit(x @ space), known, labels)
                 out[~(x[:, :TERMS] > 0).any(1)] = 0.0
-                kept = {n: rows.column(n) for n in rows.schema.names if n != "text"}
-                yield pa.RecordBatch.from_pydict(kept | {"score": pa.array(out, pa.float64())})
+                kept = [rows.column(n) for n in rows.schema.names if n != "_text"]
+                names = [n for n in rows.schema.names if n != "_text"]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.float64())], [*names, SCORE])
 
     return score
 
@@ -129,9 +131,9 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string")) % FOLDS == 0
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                   label: str = "quality") -> DataFrame:
-    """doc_id, held_out, score, predicted per input row."""
+def with_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                label: str = "quality") -> DataFrame:
+    """``docs`` with their score in a column ``SCORE`` (replaced if there)."""
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     freq = (texts.select("text").mapInArrow(_document_frequencies, "term long, df long")
             .groupBy("term").agg(F.sum("df").alias("df")).toPandas())  # TERMS + TRAITS rows
@@ -139,16 +141,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     df[freq["term"]] = freq["df"]
     learnt = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label"))
               .where(F.col("label").isNotNull() & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
-              .orderBy(F.xxhash64("doc_id")).limit(LABELLED))
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))
     learnt = materialize(learnt)
-    sample = (texts.join(broadcast_if_small(learnt), "doc_id").select("label", "text")
+    sample = (texts.join(broadcast_if_small(learnt), "doc_id").dropDuplicates(["doc_id"]).select("label", "text")
               .mapInArrow(_features, "label double, x binary").toPandas())  # at most LABELLED rows
     n = float(df.max(initial=0))
     idf = (np.log((n + 1) / (df + 1)) + 1).astype(np.float32)
     x = np.frombuffer(b"".join(sample["x"]), np.float32).reshape(-1, TERMS + TRAITS)
     space = latent_space(x, idf)
     known = _unit(x @ space)
-    scored = texts.mapInArrow(_scorer(space, known, sample["label"].to_numpy(np.float64)),
-                              f"doc_id {dict(texts.dtypes)['doc_id']}, score double")
-    return scored.select(F.col("doc_id").alias(doc_id), held_out(F.col("doc_id")).alias("held_out"), "score",
-                         (F.col("score") >= LIMIT).cast("int").alias("predicted"))
+    passed = docs.drop(SCORE)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed.schema)
+    return passed.withColumn("_text", F.col(text)).mapInArrow(
+        _scorer(space, known, sample["label"].to_numpy(np.float64)), f"{fields}, {SCORE} double")
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                   label: str = "quality") -> DataFrame:
+    """doc_id, held_out, score, predicted per input row."""
+    scored = with_scores(docs.select(doc_id, text), labels, doc_id, text, label)
+    return scored.select(doc_id, held_out(F.col(doc_id)).alias("held_out"), F.col(SCORE).alias("score"),
+                         (F.col(SCORE) >= LIMIT).cast("int").alias("predicted"))

@@ -13,6 +13,7 @@ from . import (
     near_vectors,
     ngram_join,
     packing,
+    piece_lattice,
     pii,
     quality_knn,
     quality_rules,
@@ -39,6 +40,15 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op2_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = piece_lattice.load_pieces(spark, tokenizer_file("piece_bpe_32k.model"))
+    words = piece_lattice.word_table(docs, *known)
+    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
+    encoded = piece_lattice.encode(numbered, words, ("rid", "doc_id"))
+    return piece_lattice.digests(encoded, ("rid", "doc_id")).drop("rid")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = quality_rules.text_counts(table(spark, sf_dir, "documents"))
     return quality_rules.host_rules(counts).drop("source")
@@ -76,5 +86,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_html_text,
+    f.__name__: f for f in (op1_ngram_join, op2_piece_lattice, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_html_text,
                               op7_quality_knn, op8_near_vectors, op9_packing, op10_pii)}

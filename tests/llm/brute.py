@@ -103,3 +103,47 @@ def base_spans(text):
             if good[kind]:
                 out.append((m.start(), number, kind, m.end()))
     return sorted(out)
+
+
+def char_shingles(line):
+    return {line} if len(line) < 5 else {line[i:i + 5] for i in range(len(line) - 4)}
+
+
+def line_dedup(rows):
+    """[(kept text, dropped lines)] for rows (doc_id, text) in row order."""
+    sets, first = {}, {}
+    for at, (doc, text) in enumerate(rows):
+        for k, line in enumerate((text or "").split("\n")):
+            line = line.strip(" \t\x0b\x0c\r")
+            if line:
+                sets.setdefault(line, char_shingles(line))
+                first[line] = min(first.get(line, (doc, at, k)), (doc, at, k))
+    holders = {}
+    for line, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(line)
+    shared = {}
+    for v in holders.values():
+        for a in v:
+            for b in v:
+                if a < b:
+                    shared[a, b] = shared.get((a, b), 0) + 1
+    links = [(a, b) for (a, b), n in shared.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+    comp = components(sets, links)
+    keeper = {}
+    for line, c in comp.items():
+        keeper[c] = min(keeper.get(c, first[line]), first[line])
+    out = []
+    for at, (doc, text) in enumerate(rows):
+        if text is None:
+            out.append((None, 0))
+            continue
+        kept, n = [], 0
+        for k, line in enumerate(text.split("\n")):
+            bare = line.strip(" \t\x0b\x0c\r")
+            if bare and keeper[comp[bare]] != (doc, at, k):
+                n += 1
+            else:
+                kept.append(line)
+        out.append(("\n".join(kept), n))
+    return out
