@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,8 @@ from .common import materialize
 from .textarrays import chunks
 
 END_ID = 0
-CACHED_WORDS = 400_000   # words a worker remembers before it starts anew
+CACHED_WORDS = 800_000   # words a worker remembers before it forgets
+ENCODED_BYTES = 4 << 20  # text encoded at a time
 RANKED = 500_000         # pieces of one length numbered in one group, about
 
 _loaded: dict[str, tuple] = {}
@@ -54,45 +56,81 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
-        self.tokenizer, self.words, self.pieces = Tokenizer.from_file(path), {}, {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        leads = {x[0] for x in self.special}
+        self.lead = leads.pop() if len(leads) == 1 else ""
         self.split = regex.compile(self.PATTERN).findall
+        # byte-level alphabet: bytes that are no visible sign get letters from 256 on
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.signs = {b: 256 + k for k, b in enumerate(sorted({*range(256)} - shown))}
+        # number of each word; its ids are ids[first[number]:first[number + 1]]
+        self.number: dict[str, int] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.ids, self.first = array("I"), array("q", [0])
+        self.uses = np.zeros(0, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the words that came again, if they are fewer than half."""
+        first, ids = np.array(self.first), np.array(self.ids, np.uint32)
+        keep = np.flatnonzero(self.uses > 1)
+        keep = keep if len(keep) < CACHED_WORDS // 2 else keep[:0]
+        names = list(self.number)
+        self.number = {names[k]: i for i, k in enumerate(keep)}
+        parts = [ids[first[k]:first[k + 1]] for k in keep]
+        self.ids = array("I", b"".join(x.tobytes() for x in parts))
+        self.first = array("q", np.cumsum([0] + [len(x) for x in parts]).astype(np.int64).tobytes())
+        self.uses = np.zeros(len(keep), np.int32)
+        self.pieces = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _merge(self, pieces: list[str]) -> list[bytes]:
+        """Ids of the tokenizer's own pieces: only the merges are left to do."""
+        tokenize, signs = self.tokenizer.model.tokenize, self.signs
+        plain = (p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(signs) for p in pieces)
+        return [array("I", [t.id for t in tokenize(p)]).tobytes() for p in plain]
+
+    def _cut(self, word: str) -> list[str] | None:
+        """The tokenizer's own pieces of a plain word (None: not plain)."""
+        if not (word.isascii() or max(word) <= "\xff"):
+            return None
+        if self.lead in word and any(x in word for x in self.special):
+            return None
+        word = word.lower()
+        return [word] if word.isalpha() else self.split(word)
 
     def _learn(self, words: list[str]) -> None:
-        cut, whole = {}, []
-        for w in words:
-            if max(w, default="") <= "\xff" and not any(x in w for x in self.special):
-                cut[w] = self.split(w.lower())
-            else:
-                whole.append(w)
-        new = list({p for parts in cut.values() for p in parts} - self.pieces.keys())
-        self.pieces.update(zip(new, self._encode(new), strict=True))
-        for w, parts in cut.items():
-            self.words[w] = b"".join([self.pieces[p] for p in parts])
-        self.words.update(zip(whole, self._encode(whole), strict=True))
+        cut = [self._cut(w) if w else [] for w in words]
+        whole = [w for w, parts in zip(words, cut, strict=True) if parts is None]
+        known = dict(zip(whole, self._encode(whole), strict=True))
+        new = list({p for parts in cut if parts for p in parts} - self.pieces.keys())
+        self.pieces.update(zip(new, self._merge(new), strict=True))
+        piece = self.pieces.__getitem__
+        for w, parts in zip(words, cut, strict=True):
+            self.ids.frombytes(known[w] if parts is None else b"".join(map(piece, parts)))
+            self.number[w] = len(self.first) - 1
+            self.first.append(len(self.ids))
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         column = pa.array(texts, pa.large_binary()).cast(pa.large_string())
         parts = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
         coded = parts.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if max(len(self.words), len(self.pieces)) > CACHED_WORDS:
-            self.words, self.pieces = {}, {}
-        new = [w for w in words if w not in self.words]
-        for k in range(0, len(new), 5000):
-            self._learn(new[k:k + 5000])
-        known = [self.words[w] for w in words]
-        flat = np.frombuffer(b"".join(known), np.uint32)
-        size = np.array([len(x) // 4 for x in known], np.int64)
-        first = np.cumsum(size) - size
-        each = size[at]
+        if max(len(self.number), len(self.pieces)) > CACHED_WORDS:
+            self._forget()
+        self._learn([w for w in words if w not in self.number])
+        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.uses = np.append(self.uses, np.zeros(len(self.number) - len(self.uses), np.int32))
+        self.uses[which] += 1
+        first = np.array(self.first)
+        start = first[which][at]
+        each = first[which + 1][at] - start
         end = np.cumsum(each)
         total = int(end[-1]) if len(end) else 0
-        ids = flat[np.arange(total) + np.repeat(first[at] - (end - each), each)]
+        ids = np.array(self.ids, np.uint32)[np.arange(total) + np.repeat(start - (end - each), each)]
         bounds = np.append(0, end)[np.asarray(parts.offsets)]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
@@ -107,7 +145,7 @@ def _cutter(path: str, capacity: int, keep_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path)
         for batch in batches:
-            for rows, texts in chunks(batch, "text"):
+            for rows, texts in chunks(batch, "text", ENCODED_BYTES):
                 out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
                 kept = []
                 for doc, ids in zip(rows.column("doc_id").to_pylist(), encode(texts), strict=True):

@@ -35,7 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batch with their texts as bytes (null: empty)."""
     texts = batch.column(column)
     if not pa.types.is_large_string(texts.type):
@@ -43,7 +43,7 @@ def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch,
     sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1])
     start = 0
     while start < len(texts):
-        end = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), CHUNK_BYTES, "right")))
+        end = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), most, "right")))
         part = texts.slice(start, end - start).cast(pa.large_binary()).to_pylist()
         yield batch.slice(start, end - start), [x or b"" for x in part]
         start = end
