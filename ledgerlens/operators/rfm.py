@@ -9,14 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.labels import order_count_label, quadrant_of, reverse_score, segment_of
 from ..functions.rounding import half_even, money_sum
-from ..session import TENANT, per_tenant
+from ..session import TENANT, materialize, per_tenant
 from .ordering import global_row_number
 
 LOGS = ["recency_log", "frequency_log", "monetary_log"]
@@ -128,78 +126,71 @@ RFM_COLUMNS = [TENANT, "email", "recency", "frequency", "monetary", "frequency_l
                "cust_segment", "quad_segment", "f_label", "avg_order_value", "min_c", "max_c"]
 
 
-LOCAL_KMEANS_MAX_ROWS = 200_000   # customers per tenant clustered inside one task
-KMEANS_MAX_ITER = 100
+KMEANS_ROUNDS = 20        # the one limit on k-means rounds, at every tenant size
+KMEANS_UNIT = 1e8         # z-scores enter k-means as whole hundred-millionths
+# start centres (recency, frequency, monetary) in z units, from the most to
+# the least active customers
+KMEANS_START = [(-1.2, 1.2, 1.2), (-0.4, 0.4, 0.4), (0.4, -0.4, -0.4), (1.2, -1.2, -1.2)]
 
+_Q = ["_ll_q0", "_ll_q1", "_ll_q2"]
 
-def _kmeans_numpy(x: "np.ndarray", k: int, seed: int) -> "np.ndarray":
-    """Lloyd's algorithm with k-means++ seeding on one tenant's customers."""
-    import numpy as np
 
-    rng = np.random.default_rng(seed)
-    n = len(x)
-    k = min(k, n)
-    centers = [x[rng.integers(n)]]
-    for _ in range(1, k):
-        d2 = np.min(((x[:, None, :] - np.asarray(centers)[None]) ** 2).sum(-1), axis=1)
-        total = d2.sum()
-        centers.append(x[rng.integers(n)] if total == 0 else x[rng.choice(n, p=d2 / total)])
-    c = np.asarray(centers)
-    labels = np.zeros(n, dtype=np.int64)
-    for it in range(KMEANS_MAX_ITER):
-        new = ((x[:, None, :] - c[None]) ** 2).sum(-1).argmin(axis=1)
-        if it and np.array_equal(new, labels):
-            break
-        labels = new
-        for j in range(k):
-            members = x[labels == j]
-            if len(members):
-                c[j] = members.mean(axis=0)
-    return labels
-
-
-def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 1,
-                 max_local_rows: int = LOCAL_KMEANS_MAX_ROWS) -> DataFrame:
-    """K-means (k=4, seed 1) on the standardised logs, per tenant.
-
-    Tenant sizes are counted first. Tenants with at most ``max_local_rows``
-    customers are clustered together in one grouped job (``applyInPandas``,
-    each group bounded by that check); a larger tenant gets a distributed
-    ``pyspark.ml`` KMeans fit of its own. Cluster numbers are arbitrary labels.
+def _centre(j: int, f: int) -> str:
+    return f"_ll_c{j}{f}"
+
+
+def _nearest() -> F.Column:
+    """Number of the nearest centre (the lowest of equally near ones)."""
+    k = len(KMEANS_START)
+
+    def dist(j: int) -> F.Column:
+        d = [F.col(q) - F.col(_centre(j, f)) for f, q in enumerate(_Q)]
+        return d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
+
+    out = F.lit(k - 1)
+    for j in reversed(range(k - 1)):
+        first = reduce(lambda x, y: x & y, [dist(j) <= dist(o) for o in range(j + 1, k)])
+        out = F.when(first, j).otherwise(out)
+    return out
+
+
+def rfm_clusters(scaled: DataFrame, rounds: int = KMEANS_ROUNDS) -> DataFrame:
+    """K-means (k=4) on the standardised logs, for all tenants at once.
+
+    Lloyd's algorithm from fixed start centres. A round is one aggregation:
+    every customer is assigned by an expression against its tenant's four
+    broadcast centres, and their sums (exact, over whole numbers) and counts are
+    combined map-side into one row per tenant. Those rows (twelve numbers each)
+    are all the driver sees. An empty cluster keeps its centre. It stops when no
+    centre moves, or after ``rounds``; ``cluster_converged`` says which.
     """
-    import numpy as np
-    import pandas as pd
-
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r[0]: r[1] for r in scaled.groupBy(TENANT).count().collect()}  # one row per tenant
-    small = sorted(t for t, n in sizes.items() if n <= max_local_rows)
-    large = sorted(t for t, n in sizes.items() if n > max_local_rows)
-    out_schema = StructType(scaled.schema.fields + [StructField("cluster", IntegerType())])
-    parts = []
-    if small:
-        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("email").reset_index(drop=True)
-            x = pdf[SCALED].to_numpy(dtype=float)
-            pdf["cluster"] = _kmeans_numpy(x, k, seed).astype("int32")
-            return pdf
-
-        parts.append(scaled.filter(F.col(TENANT).isin(small))
-                     .groupBy(TENANT).applyInPandas(fit, out_schema))
-    if large:
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.feature import VectorAssembler
-
-        feats = VectorAssembler(inputCols=SCALED, outputCol="_ll_features").transform(
-            scaled.filter(F.col(TENANT).isin(large)))
-        for t in large:
-            part = feats.filter(F.col(TENANT) == t)
-            model = KMeans(k=k, seed=seed, featuresCol="_ll_features",
-                           predictionCol="cluster").fit(part)
-            parts.append(model.transform(part).drop("_ll_features")
-                         .withColumn("cluster", F.col("cluster").cast("int")))
-    if not parts:
-        return scaled.withColumn("cluster", F.lit(None).cast("int"))
-    return reduce(DataFrame.unionByName, parts)
+    spark = scaled.sparkSession
+    points = materialize(scaled.withColumns({
+        q: F.floor(F.col(z) * KMEANS_UNIT + 0.5).cast("double") for q, z in zip(_Q, SCALED)}))
+    names = [_centre(j, f) for j in range(len(KMEANS_START)) for f in range(3)]
+    start = [x * KMEANS_UNIT for c in KMEANS_START for x in c]
+    centres = {r[0]: start for r in points.select(TENANT).distinct().collect()}
+    schema = f"{TENANT} {dict(points.dtypes)[TENANT]}, " + ", ".join(f"{n} double" for n in names)
+
+    def frame() -> DataFrame:
+        return per_tenant(spark.createDataFrame([(t, *c) for t, c in centres.items()], schema))
+
+    converged = False
+    for _ in range(rounds):
+        assigned = points.join(frame(), TENANT).withColumn("_ll_k", _nearest())
+        sums = [F.sum(F.when(F.col("_ll_k") == j, F.col(q).cast("bigint"))).alias(f"s{j}{f}")
+                for j in range(len(KMEANS_START)) for f, q in enumerate(_Q)]
+        counts = [F.count_if(F.col("_ll_k") == j).alias(f"n{j}") for j in range(len(KMEANS_START))]
+        new = {}
+        for r in assigned.groupBy(TENANT).agg(*sums, *counts).collect():
+            new[r[TENANT]] = [float(r[f"s{j}{f}"]) / r[f"n{j}"] if r[f"n{j}"] else centres[r[TENANT]][3 * j + f]
+                              for j in range(len(KMEANS_START)) for f in range(3)]
+        converged = new == centres
+        centres = new
+        if converged:
+            break
+    return (points.join(frame(), TENANT).withColumn("cluster", _nearest().cast("int"))
+            .withColumn("cluster_converged", F.lit(converged)).drop(*_Q, *names))
 
 
 def rfm_table(sales: DataFrame, summary: DataFrame, trailing_days: int | None = None,
@@ -208,7 +199,7 @@ def rfm_table(sales: DataFrame, summary: DataFrame, trailing_days: int | None =
     base = rfm_base(sales, trailing_days)
     cols = list(RFM_COLUMNS)
     if clusters:
-        base = rfm_clusters(rfm_scaled(base)).drop(*SCALED)
+        base = rfm_clusters(rfm_scaled(base)).drop(*SCALED, "cluster_converged")
         cols.insert(8, "cluster")
     return rfm_segments(rfm_scores(base), summary).select(*cols)
 

@@ -6,6 +6,7 @@ library's operators on them. Dates are published as ISO text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..operators import vendor as V
 from ..operators.churn_gap import gap_churn
 from ..operators.sales import clean_sales
 from ..operators.summary import sales_summary
-from ..session import TENANT, materialize
+from ..session import TENANT, ensure_checkpoint_dir, materialize, per_tenant
 from ..sources import sinks as K
 from ..sources import standins as S
 from ..sources.extract import order_extract, purchase_extract
@@ -32,7 +33,9 @@ from .publish import publish
 Query = Callable[[SparkSession, str], DataFrame]
 
 HISTORY_CUTOFF = "1997-01-01"   # I4 parameter (the reference's 2017 would drop all test rows)
-SNAPSHOT_AS_OF = "1995-01-08"   # target state of the incremental-load queries (first week loaded)
+# target state of the incremental-load queries: share of each tenant's key range
+# that is loaded; nothing new for MACHINERY, nothing loaded for HOUSEHOLD
+SNAPSHOT_SHARES = {"AUTOMOBILE": 0.25, "BUILDING": 0.5, "FURNITURE": 0.75, "MACHINERY": 1.0}
 COHORT_RUN_DAY = "2001-08-01"   # H1: scan [run day - 400 d, run day]
 COHORT_SCAN_DAYS = 400
 TRAILING_DAYS = 365             # R2
@@ -81,17 +84,39 @@ def q_surrogate_index(spark, sf):
     return S.raw_orders(spark, sf, with_index=True, cutoff=HISTORY_CUTOFF)
 
 
+def _loaded(src: DataFrame, key: str) -> DataFrame:
+    """Rows of the target: those up to the tenant's cut, a share of its highest
+    key, and those without a key. A tenant not in SNAPSHOT_SHARES has no target."""
+    top = src.groupBy(TENANT).agg(F.max(key).alias("_ll_top"))
+    share = F.create_map(*(F.lit(x) for pair in SNAPSHOT_SHARES.items() for x in pair))[F.col(TENANT)]
+    cut = per_tenant(top.select(TENANT, F.floor(F.col("_ll_top") * share).alias("_ll_cut")))
+    return (src.join(cut, TENANT).filter(F.col("_ll_cut").isNotNull()
+                                         & (F.col(key).isNull() | (F.col(key) <= F.col("_ll_cut")))).drop("_ll_cut"))
+
+
 def _order_snapshot(spark, sf):
-    """Target table as loaded on SNAPSHOT_AS_OF (orders created before it)."""
-    src = I.prepare_orders(order_extract(*S.erp_order_tables(spark, sf)))
-    old = src.filter(F.col("date_created") < F.lit(SNAPSHOT_AS_OF).cast("timestamp_ntz"))
-    return src, I.surrogate_index(old, S.ORDER_INDEX_ORDER)
+    """Source and target of the tenants; target + delta = source."""
+    src = I.prepare_orders(order_extract(*S.erp_order_tables(spark, sf, multi_tenant=True)))
+    return src, I.surrogate_index(_loaded(src, "order_no"), S.ORDER_INDEX_ORDER)
 
 
 def _po_snapshot(spark, sf):
-    src = S.purchase_order(spark, sf, with_index=False)
-    old = src.filter(F.col("date_created") < F.lit(SNAPSHOT_AS_OF).cast("timestamp_ntz"))
-    return src, I.surrogate_index(old, S.PURCHASE_INDEX_ORDER)
+    src = S.purchase_order(spark, sf, multi_tenant=True, with_index=False)
+    return src, I.surrogate_index(_loaded(src, "po_no"), S.PURCHASE_INDEX_ORDER)
+
+
+def q_incremental_completeness(spark, sf):
+    """I5 + I6: per tenant, lines of source, target and delta (target + delta = source)."""
+    parts = []
+    for step, key, (src, target) in (("recent_order", "order_no", _order_snapshot(spark, sf)),
+                                     ("recent_vendor", "po_no", _po_snapshot(spark, sf))):
+        named = [(src, "source"), (target, "target"), (I.incremental_delta(src, target, key), "delta")]
+        parts += [df.groupBy(TENANT).agg(F.count(F.lit(1)).alias("lines"))
+                  .select(TENANT, F.lit(step).alias("step"), F.lit(part).alias("part"), "lines") for df, part in named]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def q_incremental_orders(spark, sf):
@@ -103,15 +128,15 @@ def q_incremental_orders(spark, sf):
 def q_incremental_pos(spark, sf):
     """I6 + I7 + I8 for purchase-order lines."""
     src, target = _po_snapshot(spark, sf)
-    return I.incremental_load(src, target, "po_no", S.PURCHASE_INDEX_ORDER)
+    return publish(I.incremental_load(src, target, "po_no", S.PURCHASE_INDEX_ORDER), ("po_no",))
 
 
 def q_ingest_status(spark, sf):
     """I8 + I9: status row per tenant and step."""
     osrc, otgt = _order_snapshot(spark, sf)
     psrc, ptgt = _po_snapshot(spark, sf)
-    return I.ingest_status(osrc, otgt, "order_no", "recent_order").unionByName(
-        I.ingest_status(psrc, ptgt, "po_no", "recent_vendor"))
+    return publish(I.ingest_status(osrc, otgt, "order_no", "recent_order").unionByName(
+        I.ingest_status(psrc, ptgt, "po_no", "recent_vendor")), ("target_max",))
 
 
 def q_append_with_key(spark, sf):
@@ -127,6 +152,18 @@ def q_dedupe_columns(spark, sf):
     return K.remove_dup_columns(line.join(hdr, line.order_no == hdr.order_no, "inner"))
 
 
+def q_warehouse_roundtrip(spark, sf):
+    """S4 + S5: daily sales written for all tenants twice, the second time
+    without one of them, and read back; ids are read as they were written."""
+    from .refresh import Warehouse
+    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}")
+    daily = FS.daily_sales(_sales(spark, sf, multi=True)).withColumn(
+        TENANT, F.lpad(F.ascii(TENANT).cast("string"), 4, "0"))  # ids such as 0065: all digits
+    daily = materialize(daily.groupBy(TENANT, "ds").agg(money_sum("y").alias("y")))
+    wh.write("daily", lambda: daily)
+    return publish(wh.write("daily", lambda: daily.filter(F.col(TENANT) != "0077")))
+
+
 # -- sales -------------------------------------------------------------------------
 def q_sales_clean(spark, sf):
     """raw_orders -> sales."""
@@ -147,7 +184,7 @@ def q_tenant_sales(spark, sf):
 def q_schema_conform(spark, sf):
     """The loaded raw_orders cast to its declared schema."""
     from ..schemas import RAW_ORDERS, conform
-    return conform(S.raw_orders(spark, sf, with_index=True, cutoff=HISTORY_CUTOFF), RAW_ORDERS)
+    return conform(S.raw_orders(spark, sf, with_index=True), RAW_ORDERS)
 
 
 # -- every job for all tenants at once (I10) -------------------------------------
@@ -253,15 +290,17 @@ def q_rfm_one(spark, sf):
 
 
 def q_rfm_clusters(spark, sf):
-    """R8 (rows-only): k-means cluster per customer."""
+    """K-means cluster per customer."""
     sales = _sales(spark, sf)
-    return R.rfm_clusters(R.rfm_scaled(R.rfm_base(sales))).select(TENANT, "email", "cluster")
+    return R.rfm_clusters(R.rfm_scaled(R.rfm_base(sales))).select(
+        TENANT, "email", "cluster", "cluster_converged")
 
 
 def q_tenant_rfm_clusters(spark, sf):
-    """R8 (rows-only) for every tenant in one grouped job."""
+    """R8 for every tenant in the same rounds."""
     sales = _sales(spark, sf, multi=True)
-    return R.rfm_clusters(R.rfm_scaled(R.rfm_base(sales))).select(TENANT, "email", "cluster")
+    return R.rfm_clusters(R.rfm_scaled(R.rfm_base(sales))).select(
+        TENANT, "email", "cluster", "cluster_converged")
 
 
 def rfm_quadrants(sales: DataFrame) -> DataFrame:

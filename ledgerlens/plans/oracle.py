@@ -264,6 +264,35 @@ rfm_scaled AS (
   FROM rfm_base b JOIN rz_stats s ON b.company_id = s.company_id)"""
 
 
+def clusters_sql() -> str:
+    """Lloyd's algorithm, 20 rounds written out; whole hundred-millionths of z."""
+    start = [(-1.2, 1.2, 1.2), (-0.4, 0.4, 0.4), (0.4, -0.4, -0.4), (1.2, -1.2, -1.2)]
+
+    def dist(j):
+        return " + ".join(f"(q{f} - c{j}{f}) * (q{f} - c{j}{f})" for f in range(3))
+
+    near = ", ".join(f"{dist(j)} AS d{j}" for j in range(4))
+    pick = ("CASE WHEN d0 <= d1 AND d0 <= d2 AND d0 <= d3 THEN 0 WHEN d1 <= d2 AND d1 <= d3 THEN 1 "
+            "WHEN d2 <= d3 THEN 2 ELSE 3 END")
+    names = [(j, f) for j in range(4) for f in range(3)]
+    first = ", ".join(f"CAST({start[j][f]!r} AS DOUBLE) * 1e8 AS c{j}{f}" for j, f in names)
+    moved = ", ".join(f"CASE WHEN count(*) FILTER (k = {j}) > 0 THEN CAST(sum(CAST(q{f} AS BIGINT)) FILTER (k = {j}) AS DOUBLE)"
+                      f" / count(*) FILTER (k = {j}) ELSE max(c{j}{f}) END AS c{j}{f}" for j, f in names)
+    q = ", ".join(f"CAST(floor({z} * 1e8 + 0.5) AS DOUBLE) AS q{f}"
+                  for f, z in enumerate(("recency_z", "frequency_z", "monetary_z")))
+    ctes = [f"km_p AS MATERIALIZED (SELECT company_id, email, {q} FROM rfm_scaled)",
+            f"km_0 AS MATERIALIZED (SELECT DISTINCT company_id, {first} FROM km_p)"]
+    for i in range(20):
+        ctes.append(f"""km_{i + 1} AS MATERIALIZED (SELECT company_id, {moved} FROM (
+  SELECT *, {pick} AS k FROM (SELECT p.*, c.* EXCLUDE (company_id), {near} FROM km_p p JOIN km_{i} c USING (company_id)))
+  GROUP BY company_id)""")
+    same = " AND ".join(f"a.c{j}{f} = b.c{j}{f}" for j, f in names)
+    ctes.append(f"km_same AS (SELECT bool_and({same}) AS converged FROM km_19 a JOIN km_20 b USING (company_id))")
+    ctes.append(f"""km AS (SELECT company_id, email, CAST({pick} AS INTEGER) AS cluster FROM (
+  SELECT p.*, {near} FROM km_p p JOIN km_20 c USING (company_id)))""")
+    return ",\n".join(ctes)
+
+
 def _bin(rank: str) -> str:
     return (f"(1 + CAST(4*({rank}-1) > (n-1) AS INTEGER) + CAST(4*({rank}-1) > 2*(n-1) AS INTEGER)"
             f" + CAST(4*({rank}-1) > 3*(n-1) AS INTEGER))")
@@ -539,16 +568,20 @@ vendor_deals AS (
 
 
 def snapshot_sql(kind: str) -> str:
-    """Target table as loaded on the snapshot day, and the delta above its watermark."""
-    from .catalog import SNAPSHOT_AS_OF
+    """Target table loaded up to a share of each tenant's keys, and the delta above its watermark."""
     if kind == "order":
         src, key, cols = "raw_orders", "order_no", ORDER_COLS + ["price"]
     else:
         src, key, cols = "po_prepared", "po_no", PO_COLS + ["price", "year"]
     return f"""
+{kind}_cut AS (
+  SELECT company_id, CAST(floor(max({key}) * CASE company_id WHEN 'AUTOMOBILE' THEN 0.25::DOUBLE WHEN 'BUILDING' THEN 0.5
+           WHEN 'FURNITURE' THEN 0.75 WHEN 'MACHINERY' THEN 1.0 END) AS BIGINT) AS cut
+  FROM {src} GROUP BY company_id),
 {kind}_target AS (
-  SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY {order_by(cols)}) - 1 AS "index"
-  FROM {src} WHERE date_created < TIMESTAMP '{SNAPSHOT_AS_OF}'),
+  SELECT s.*, row_number() OVER (PARTITION BY s.company_id ORDER BY {order_by(['s.' + c for c in cols]).replace('"s.', 's."')}) - 1 AS "index"
+  FROM {src} s JOIN {kind}_cut c ON s.company_id = c.company_id
+  WHERE c.cut IS NOT NULL AND (s.{key} IS NULL OR s.{key} <= c.cut)),
 {kind}_wm AS (SELECT company_id, max({key}) AS wm, max("index") + 1 AS next_index
               FROM {kind}_target GROUP BY company_id),
 {kind}_delta AS (
@@ -576,8 +609,7 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
     # sources and loading
     q["schema_conform"] = with_(O) + f""" SELECT *, row_number() OVER (PARTITION BY company_id
-        ORDER BY {order_by(ORDER_COLS + ['price'])}) - 1 AS "index"
-        FROM raw_orders WHERE date_created >= TIMESTAMP '{HISTORY_CUTOFF}'"""
+        ORDER BY {order_by(ORDER_COLS + ['price'])}) - 1 AS "index" FROM raw_orders"""
     # every job for all tenants at once
     OM, PM = order_tables(True), purchase_tables(True)
     q["tenant_sales_summary"] = (with_(OM, SL, SUMMARY) +
@@ -593,12 +625,19 @@ def build() -> dict[str, str]:
     q["surrogate_index"] = with_(O) + f""" SELECT *, row_number() OVER (PARTITION BY company_id
         ORDER BY {order_by(ORDER_COLS + ['price'])}) - 1 AS "index"
         FROM raw_orders WHERE date_created >= TIMESTAMP '{HISTORY_CUTOFF}'"""
-    q["incremental_orders"] = with_(O, snapshot_sql("order")) + " SELECT * FROM order_delta"
-    q["incremental_pos"] = with_(P, snapshot_sql("po")) + " SELECT * FROM po_delta"
-    q["ingest_status"] = (with_(O, P, snapshot_sql("order"), snapshot_sql("po"))
-                          + " SELECT * FROM order_status UNION ALL SELECT * FROM po_status")
-    q["append_with_key"] = with_(O, snapshot_sql("order")) + """ SELECT * FROM order_delta d
-        WHERE d."index" IS NOT NULL AND d."index" NOT IN (SELECT "index" FROM order_target)"""
+    q["incremental_orders"] = with_(OM, snapshot_sql("order")) + " SELECT * FROM order_delta"
+    q["incremental_pos"] = with_(PM, snapshot_sql("po")) + (
+        " SELECT * REPLACE (CAST(po_no AS DOUBLE) AS po_no) FROM po_delta")
+    q["ingest_status"] = (with_(OM, PM, snapshot_sql("order"), snapshot_sql("po"))
+                          + " SELECT * REPLACE (CAST(target_max AS DOUBLE) AS target_max)"
+                            " FROM (SELECT * FROM order_status UNION ALL SELECT * FROM po_status)")
+    q["incremental_completeness"] = (with_(OM, PM, snapshot_sql("order"), snapshot_sql("po")) + " " + " UNION ALL ".join(
+        f"SELECT company_id, '{step}' AS step, '{part}' AS part, count(*) AS lines FROM {src} GROUP BY company_id"
+        for step, kind, full in (("recent_order", "order", "raw_orders"), ("recent_vendor", "po", "po_prepared"))
+        for part, src in (("source", full), ("target", f"{kind}_target"), ("delta", f"{kind}_delta"))))
+    q["append_with_key"] = with_(OM, snapshot_sql("order")) + """ SELECT * FROM order_delta d
+        WHERE d."index" IS NOT NULL AND NOT EXISTS (
+          SELECT 1 FROM order_target t WHERE t.company_id = d.company_id AND t."index" = d."index")"""
     q["dedupe_columns"] = with_(O) + " SELECT l.*, h.* EXCLUDE (order_no) FROM oe_line l JOIN oe_hdr h ON l.order_no = h.order_no"
     # sales
     q["sales_clean"] = with_(O, SL) + f" SELECT {SALES_OUT} FROM sales"
@@ -630,6 +669,9 @@ def build() -> dict[str, str]:
     q["rfm_scaled"] = with_(*RB, RFM_SCALED) + f""" SELECT company_id, email,
         round_even(recency_z, {Z_DIGITS}) AS recency_z, round_even(frequency_z, {Z_DIGITS}) AS frequency_z,
         round_even(monetary_z, {Z_DIGITS}) AS monetary_z FROM rfm_scaled"""
+    for name, tables in (("rfm_clusters", O), ("tenant_rfm_clusters", OM)):
+        q[name] = (with_(tables, SL, rfm_base_sql(), RFM_SCALED, clusters_sql())
+                   + " SELECT company_id, email, cluster, converged AS cluster_converged FROM km, km_same")
     q["rfm_scores"] = with_(*RB, RFM_SCORES) + f" SELECT {', '.join(RFM_SCORE_COLS)} FROM rfm_scores"
     rfm_full = [O, SL, SUMMARY, rfm_base_sql(), RFM_SCORES, segment_case(), RFM_TABLE]
     q["rfm_segments"] = with_(*rfm_full) + f" SELECT {publish_cols(RFM_COLS, {'min_c', 'max_c'})} FROM rfm"
@@ -665,6 +707,8 @@ def build() -> dict[str, str]:
     DS = full_month_series("sales", f"COALESCE({MS('s.total')}, 0.0)", "daily_sales")
     DO = full_month_series("sales_summary", "CAST(count(s.order_id) AS DOUBLE)", "daily_orders")
     q["daily_sales"] = with_(O, SL, DS) + f" SELECT company_id, {D('ds')}, y FROM daily_sales"
+    q["warehouse_roundtrip"] = with_(OM, SL, DS) + f""" SELECT lpad(CAST(ascii(company_id) AS VARCHAR), 4, '0') AS company_id,
+        {D('ds')}, {MS('y')} AS y FROM daily_sales WHERE ascii(company_id) <> 77 GROUP BY ALL"""
     q["daily_orders"] = with_(*SS, DO) + f" SELECT company_id, {D('ds')}, y FROM daily_orders"
     q["daily_churn"] = with_(*SS, DAILY_CHURN) + f" SELECT company_id, {D('ds')}, y FROM daily_churn"
     q["densify_orders"] = (with_(*SS, DO, densify_sql("daily_orders", "dense"))

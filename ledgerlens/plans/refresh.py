@@ -10,8 +10,9 @@ dependencies:
     purchase_order -> vendor_spend_analysis -> vendor_deals
 
 Tables read by several jobs are written once and read back (never
-recomputed); every table is written with dynamic partition overwrite by
-``company_id``, so re-running a refresh is idempotent.
+recomputed); every table is replaced as a whole, partitioned by
+``company_id``, so re-running a refresh is idempotent and a tenant without
+rows is gone.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from ..operators.churn_gap import gap_churn
 from ..operators.sales import clean_sales
 from ..operators.summary import sales_summary
 from ..sources.sinks import write_overwrite
+from ..sources.tables import read_partitioned
 
 
 class Warehouse:
@@ -51,12 +53,17 @@ class Warehouse:
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return read_partitioned(self.spark, self.path(name))
 
 
 def refresh(wh: Warehouse, raw_orders: DataFrame, purchase_order: DataFrame,
-            only: Callable[[str], bool] = lambda name: True) -> dict[str, float]:
-    """Rebuild every derived table from the two loaded base tables."""
+            only: Callable[[str], bool] = lambda name: True,
+            cohort_start: str | None = None, cohort_end: str | None = None) -> dict[str, float]:
+    """Rebuild every derived table from the two loaded base tables.
+
+    ``cohort_start`` and ``cohort_end`` are the scan bounds of the scheduled
+    cohort job (H1).
+    """
     sales = wh.write("sales", lambda: clean_sales(raw_orders))
     summary = wh.write("sales_summary", lambda: sales_summary(sales))
     if only("rfm"):
@@ -66,7 +73,7 @@ def refresh(wh: Warehouse, raw_orders: DataFrame, purchase_order: DataFrame,
     if only("cohort"):
         for months, tag in ((H.HALF_MONTHS, "half"), (H.YEAR_MONTHS, "year")):
             counts = wh.write(f"cohort_{tag}", lambda m=months: H.cohort_counts(
-                H.cohort_data(sales, m), m))
+                H.cohort_data(sales, m, cohort_start, cohort_end), m))
             wh.write(f"retention_{tag}", lambda m=months, c=counts: H.retention(c, m))
     if only("forecast"):
         wh.write("sales_forecasting", lambda: FC.forecast(FC.forecast_features(

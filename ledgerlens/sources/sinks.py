@@ -1,4 +1,4 @@
-"""Table sinks (S5-S10): overwrite by tenant partition, append with key."""
+"""Table sinks (S5-S10): overwrite, append with key."""
 
 from __future__ import annotations
 
@@ -51,11 +51,16 @@ def rows_to_append(df: DataFrame, target: DataFrame | None, key: str,
     return df
 
 
-def write_overwrite(df: DataFrame, path: str, sort_within: list[str] | None = None) -> None:
-    """Replace the tenants present in ``df`` (dynamic partition overwrite)."""
+def write_overwrite(df: DataFrame, path: str, sort_within: list[str] | None = None,
+                    tenants_only: bool = False) -> None:
+    """Replace the table; tenants without rows in ``df`` are gone.
+
+    ``tenants_only`` replaces the tenants present in ``df`` and leaves the
+    others as they are (a refresh of a few tenants).
+    """
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if tenants_only else "static")
      .partitionBy(TENANT).parquet(path))
 
 

@@ -10,6 +10,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by tenant, with its ids as text (``007`` stays ``007``).
+
+    Folder names carry no type, so ids that look like numbers or dates would
+    be read as such; inference is off while the table's schema is resolved.
+    """
+    before = spark.conf.get(_INFER)
+    spark.conf.set(_INFER, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(_INFER, before)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_jdbc_query(spark: SparkSession, url: str, query: str, *,
                     partition_column: str | None = None, lower_bound: int | None = None,
                     upper_bound: int | None = None, num_partitions: int | None = None,

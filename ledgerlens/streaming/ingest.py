@@ -1,31 +1,41 @@
 """High-watermark incremental load as a Structured Streaming job.
 
-New extract files land in a folder; each micro-batch keeps the rows whose
-key is above the tenant's watermark in the target table, continues the
-surrogate ``index`` and appends them. Re-running a batch after a failure
-appends nothing (its rows are no longer above the watermark), so the sink
-is idempotent and the stream checkpoint gives exactly-once results.
+New extract files land in a folder; each micro-batch keeps the lines that the
+target table does not hold (by their whole business key, so a late line of an
+order already loaded is taken), continues the surrogate ``index`` and appends
+them. Repeating a batch after a failure, also after a partly committed
+append, adds only what is missing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.ingest import incremental_load
+from ..operators.ingest import next_index, surrogate_index
+from ..session import TENANT
 from ..sources.sinks import write_append
+from ..sources.tables import path_exists, read_partitioned
 
 
 def _target(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # first batch: empty target with the batch's schema
-        return like.limit(0).withColumn("index", F.lit(None).cast("bigint"))
+    if path_exists(spark, path):  # any other failure to read it is an error
+        return read_partitioned(spark, path)
+    return like.limit(0).withColumn("index", F.lit(None).cast("bigint"))
+
+
+def missing_lines(rows: DataFrame, target: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Rows whose business key (tenant, ``key`` and the columns of ``order``)
+    is not in the target; the join is on tenant and key, the rest is compared."""
+    held = target.select(TENANT, *dict.fromkeys([key, *order])).alias("t")
+    same = (F.col(f"s.{TENANT}") == F.col(f"t.{TENANT}")) & F.col(f"s.{key}").eqNullSafe(F.col(f"t.{key}"))
+    for c in order:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
+    return rows.alias("s").join(held, same, "left_anti")
 
 
 def start_incremental_ingest(spark: SparkSession, landing_dir: str, schema: StructType,
@@ -38,7 +48,8 @@ def start_incremental_ingest(spark: SparkSession, landing_dir: str, schema: Stru
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = prepare(batch)
-        new = incremental_load(rows, _target(spark, target_path, rows), key, order)
+        target = _target(spark, target_path, rows)
+        new = surrogate_index(missing_lines(rows, target, key, order), order, next_index(target))
         write_append(new, target_path)
 
     stream = spark.readStream.schema(schema).parquet(landing_dir)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import ingest as I
 from ledgerlens.sources import sinks as K
 from ledgerlens.sources.standins import ORDER_INDEX_ORDER
+from ledgerlens.sources.tables import read_partitioned
 
 from .helpers import raw_orders, ts
 
@@ -63,10 +64,38 @@ def test_duplicate_and_blank_columns(spark):
     assert K.name_blank_columns(blank).columns == ["a", "nocolname"]
 
 
-def test_overwrite_is_idempotent(spark, tmp_path):
+def test_overwrite_replaces_the_table(spark, tmp_path):
     df = spark.createDataFrame([("t0", 1), ("t1", 2)], "company_id string, x long")
     path = str(tmp_path / "tbl")
+
+    def held():
+        return sorted(tuple(r) for r in read_partitioned(spark, path).select("company_id", "x").collect())
+
+    K.write_overwrite(df, path)
+    K.write_overwrite(df, path)
+    assert held() == [("t0", 1), ("t1", 2)]
+    K.write_overwrite(df.filter("company_id = 't1'").withColumn("x", F.lit(5).cast("long")), path, tenants_only=True)
+    assert held() == [("t0", 1), ("t1", 5)]                       # t0 is left as it is
+    K.write_overwrite(df.filter("company_id = 't1'"), path)
+    assert held() == [("t1", 2)]                                  # t0 has no rows: gone
+
+
+def test_tenant_ids_are_read_as_written(spark, tmp_path):
+    ids = ["007", "7", "0042", "2020-01-01", "1e3", None]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(ids)], "company_id string, x long")
+    path = str(tmp_path / "tbl")
     K.write_overwrite(df, path)
-    K.write_overwrite(df.filter("company_id = 't1'"), path)       # only t1 is replaced
-    assert sorted(tuple(r) for r in spark.read.parquet(path).select("company_id", "x").collect()) == \
-        [("t0", 1), ("t1", 2)]
+    back = read_partitioned(spark, path)
+    assert dict(back.dtypes)["company_id"] == "string"
+    assert {r.x: r.company_id for r in back.collect()} == dict(enumerate(ids))
+
+
+def test_target_plus_delta_is_the_source(spark):
+    from ledgerlens.plans.catalog import q_incremental_completeness
+    rows = {}
+    for r in q_incremental_completeness(spark, "/root/testdata/sf0.001").collect():
+        rows.setdefault((r.company_id, r.step), {})[r.part] = r.lines
+    assert len(rows) == 10
+    assert all(v.get("target", 0) + v.get("delta", 0) == v["source"] for v in rows.values())
+    assert {k for k, v in rows.items() if not v.get("delta")} == {("MACHINERY", "recent_order"), ("MACHINERY", "recent_vendor")}
+    assert {k[0] for k, v in rows.items() if not v.get("target")} == {"HOUSEHOLD"}

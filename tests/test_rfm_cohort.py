@@ -50,27 +50,30 @@ def test_rfm_properties(spark):
     assert R.cardinality_violations(rfm, ["company_id", "email"]).count() == 0
 
 
-def test_rfm_clusters_one_label_per_customer(spark):
-    rows = [{"ship2_email_address": f"e{i % 29}@x", "date_created": ts("2020-01-01") + dt.timedelta(days=i % 40),
-             "order_no": i, "unit_price": float(1 + (i * 5) % 17),
-             "company_id": "t0" if i % 3 else "t1"} for i in range(300)]
-    scaled = R.rfm_scaled(R.rfm_base(_sales(spark, rows)))
-    n = scaled.count()
-    for limit in (10**6, 0):               # grouped local fits, then distributed fits
-        cl = R.rfm_clusters(scaled, max_local_rows=limit).collect()
-        assert len(cl) == n and len({(r.company_id, r.email) for r in cl}) == n
-        assert {r.cluster for r in cl} <= {0, 1, 2, 3}
-        assert len({r.cluster for r in cl if r.company_id == "t0"}) == 4
-
-
-def test_kmeans_numpy_separates_blobs():
-    import numpy as np
-    rng = np.random.default_rng(0)
-    centers = np.array([[0, 0, 0], [10, 0, 0], [0, 10, 0], [0, 0, 10]], dtype=float)
-    x = np.concatenate([c + rng.normal(0, 0.5, (50, 3)) for c in centers])
-    labels = R._kmeans_numpy(x, 4, 1)
-    assert all(len(set(labels[i * 50:(i + 1) * 50])) == 1 for i in range(4))
-    assert len(set(labels)) == 4
+def _scaled(spark, rows):
+    return spark.createDataFrame([(t, e, *map(float, z)) for t, e, z in rows],
+                                 "company_id string, email string, recency_z double, frequency_z double, monetary_z double")
+
+
+def test_kmeans_separates_blobs_of_every_tenant(spark):
+    import random
+    rnd = random.Random(0)
+    rows = []
+    for t, n in (("t0", 40), ("t1", 7)):
+        for j, c in enumerate(R.KMEANS_START):
+            rows += [(t, f"{j}-{i}", [x * 3 + rnd.gauss(0, 0.2) for x in c]) for i in range(n)]
+    out = R.rfm_clusters(_scaled(spark, rows)).collect()
+    assert len(out) == len(rows) and all(r.cluster_converged for r in out)
+    assert all(r.cluster == int(r.email[0]) for r in out)
+
+
+def test_kmeans_few_customers_and_round_limit(spark):
+    rows = [("t0", "a", (0, 0, 0)), ("t0", "b", (0, 0, 0)), ("t1", "a", (1, 2, 3))]
+    out = R.rfm_clusters(_scaled(spark, rows)).collect()
+    assert len(out) == 3 and len({r.cluster for r in out if r.company_id == "t0"}) == 1
+    limited = R.rfm_clusters(_scaled(spark, [("t0", f"e{i}", (i / 7, -i / 5, i / 3)) for i in range(30)]), rounds=1)
+    assert {r.cluster_converged for r in limited.collect()} == {False}
+    assert R.rfm_clusters(_scaled(spark, [])).count() == 0
 
 
 def _cohort_rows(spark, spec):

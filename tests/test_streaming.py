@@ -17,13 +17,15 @@ def _run(spark, land, schema, target, ckpt):
     q = start_incremental_ingest(spark, land, schema, target, "order_no", ORDER_INDEX_ORDER,
                                  ckpt, prepare=lambda df: prepare_orders(df))
     q.awaitTermination(120)
-    return sorted((r.order_no, r["index"]) for r in spark.read.parquet(target).collect())
+    return sorted((r["index"], r.order_no) for r in spark.read.parquet(target).collect())
 
 
-def test_stream_appends_above_watermark_once(spark, tmp_path):
+def test_stream_appends_each_line_once(spark, tmp_path):
     land, target, ckpt = (str(tmp_path / x) for x in ("land", "target", "ckpt"))
     schema = _drop(spark, land, [(1, 0), (1, 1), (2, 0)])
-    assert _run(spark, land, schema, target, ckpt) == [(1, 0), (1, 1), (2, 1 + 1)]
-    _drop(spark, land, [(3, 0), (2, 5)])            # new order 3, late line on order 2
-    assert _run(spark, land, schema, target, ckpt) == [(1, 0), (1, 1), (2, 2), (3, 3)]
-    assert _run(spark, land, schema, target, ckpt) == [(1, 0), (1, 1), (2, 2), (3, 3)]
+    assert _run(spark, land, schema, target, ckpt) == [(0, 1), (1, 1), (2, 2)]
+    _drop(spark, land, [(3, 0), (2, 5), (1, 1)])    # a new order, a late line on order 2, a repeated line
+    assert _run(spark, land, schema, target, ckpt) == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
+    assert _run(spark, land, schema, target, ckpt) == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
+    # a new checkpoint replays every file and adds nothing
+    assert _run(spark, land, schema, target, str(tmp_path / "again")) == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
