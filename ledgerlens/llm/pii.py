@@ -49,7 +49,7 @@ PATTERNS = {
     "token": rf"(?:\G|(?<!{_EDGE}))(?:(?![0-9@]){_EDGE})*+[0-9@]{_EDGE}*+",
 }
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-_CUT = r"(?<=[:=(\"'<>\[\])},;])|[ ]+"   # contexts end at white space or one of these
+_CUT = r"(?<=[:=(\"'<>\[\])},;])[ ]*|[ ]+"   # contexts end at white space or one of these
 
 
 def _digits(col):
@@ -77,8 +77,8 @@ def _flat(text):
 
 def _last_token(gap):
     """Lower-cased token that ends the gap (empty: none)."""
-    end = F.rtrim(gap)
-    return F.lower(F.element_at(F.split(F.substring_index(end, " ", -1), _CUT), -1))
+    parts = F.split(F.substring_index(F.rtrim(gap), " ", -1), _CUT)
+    return F.coalesce(F.lower(F.try_element_at(F.filter(parts, lambda x: x != ""), F.lit(-1))), F.lit(""))
 
 
 def _matches(docs: DataFrame) -> DataFrame:
