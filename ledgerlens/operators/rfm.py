@@ -32,11 +32,13 @@ def rfm_base(sales: DataFrame, trailing_days: int | None = None) -> DataFrame:
               .drop("_ll_max"))
     df = df.filter(F.col("customer_id").isNotNull() & F.col("order_id").isNotNull()
                    & F.col("email").isNotNull())                      # R1
-    ref = df.groupBy(TENANT).agg(F.date_add(F.max("just_date"), 1).alias("_ll_ref"))  # R3
-    per = df.groupBy(TENANT, "email").agg(                            # R4
+    # one row per customer, written once: the reference date and every later
+    # step (scaling, quartiles, ranks, k-means) read it instead of the lines
+    per = materialize(df.groupBy(TENANT, "email").agg(                # R4
         F.max("just_date").alias("_ll_last"),
         F.count("order_id").alias("frequency"),
-        money_sum("total").alias("monetary"))
+        money_sum("total").alias("monetary")))
+    ref = per.groupBy(TENANT).agg(F.date_add(F.max("_ll_last"), 1).alias("_ll_ref"))  # R3
     per = (per.join(per_tenant(ref), TENANT)
            .withColumn("recency", F.datediff("_ll_ref", "_ll_last").cast("bigint"))
            .drop("_ll_ref", "_ll_last"))

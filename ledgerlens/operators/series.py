@@ -7,29 +7,30 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import last_full_month_end
 from ..functions.rounding import money_sum
-from ..session import TENANT, per_tenant
+from ..session import TENANT
 
 HORIZON = 90
 
 
-def _full_months(df: DataFrame) -> DataFrame:
-    cut = df.groupBy(TENANT).agg(last_full_month_end(F.max("ds")).alias("_ll_cut"))
-    return df.join(per_tenant(cut), TENANT).filter(F.col("ds") <= F.col("_ll_cut")).drop("_ll_cut")
+def _full_months(daily: DataFrame) -> DataFrame:
+    """Days up to the end of the tenant's last full month. The window is over
+    one row per tenant-day, so it is bounded by the calendar, and the cut costs
+    no second scan of the lines."""
+    last = F.max("ds").over(Window.partitionBy(TENANT))
+    return daily.withColumn("_ll_cut", last_full_month_end(last)).filter(F.col("ds") <= F.col("_ll_cut")).drop("_ll_cut")
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:
     """full months only, ``sum(total)`` per day, no gap filling."""
-    df = _full_months(sales.select(TENANT, F.to_date("date_created").alias("ds"), "total")
-                      .filter(F.col("ds").isNotNull()))
-    return df.groupBy(TENANT, "ds").agg(
-        F.coalesce(money_sum("total"), F.lit(0.0)).alias("y"))
+    lines = sales.select(TENANT, F.to_date("date_created").alias("ds"), "total").filter(F.col("ds").isNotNull())
+    return _full_months(lines.groupBy(TENANT, "ds").agg(
+        F.coalesce(money_sum("total"), F.lit(0.0)).alias("y")))
 
 
 def daily_orders(summary: DataFrame) -> DataFrame:
     """full months only, ``count(order_id)`` per day."""
-    df = _full_months(summary.select(TENANT, F.to_date("date_created").alias("ds"), "order_id")
-                      .filter(F.col("ds").isNotNull()))
-    return df.groupBy(TENANT, "ds").agg(F.count("order_id").cast("double").alias("y"))
+    lines = summary.select(TENANT, F.to_date("date_created").alias("ds"), "order_id").filter(F.col("ds").isNotNull())
+    return _full_months(lines.groupBy(TENANT, "ds").agg(F.count("order_id").cast("double").alias("y")))
 
 
 def daily_churn(summary: DataFrame) -> DataFrame:

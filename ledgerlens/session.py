@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +50,35 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the application, once.
+
+    The grouped forecast runs library code in Python workers; on a cluster, or
+    when the session starts from another folder, they cannot import it
+    otherwise.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-ship-"), "ledgerlens.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only in local mode.
 
@@ -67,7 +95,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):  # one process
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError(
@@ -82,9 +110,12 @@ def materialize(df: DataFrame) -> DataFrame:
     (``sales``, ``sales_summary``, ...): downstream plans start from the
     written files instead of recomputing, the lineage is cut (a lost executor
     only costs re-reading those files), and, unlike an RDD checkpoint, each
-    consumer's scan reads only its columns and takes its pushed filters.
+    consumer's scan reads only its columns and takes its pushed filters. The
+    copy is deleted when the application ends.
     """
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{root}/tables/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.parquet(path)
