@@ -144,6 +144,28 @@ def test_line_dedup_matches_brute_force(spark):
     assert got[90] == (None, 0) and got[92] == ("\n \n", 0) and got[96] == ("", 1)
 
 
+SIMILAR_LINES = [
+    ("https://shop.example.com/catalogue/garden/tools/rakes?colour=green&size=large&page=12&sort=asc",
+     "http://shop.example.com/catalogue/garden/tools/rakes?colour=green&size=large&page=12&sort=asc"),
+    ("https://cdn.example.org/static/build/2024/assets/img/products/lamps/desk-lamp-matte-black-01.jpg",
+     "https://cdn.example.org/static/build/2024/assets/img/products/lamps/desk-lamp-matte-black-01.jpg (copy)"),
+    ("\t".join(f"column{k * 7919}" for k in range(12)), "\t".join(f"column{k * 7919 + (k == 0)}" for k in range(12))),
+    (",".join(f"{k * 104729 % 99991}" for k in range(40)), ",".join(f"{k * 104729 % 99991}" for k in range(40)).replace(",", " ,", 1)),
+    ("日本語の長い文をここに書きます。空白はひとつもありませんし、文字の種類も多いので署名は十分に長くなります。",
+     "日本語の長い文をここに書きます。空白はひとつもありませんし、文字の種類も多いので署名は十分に長くなります!"),
+    ("wwwwwwwwwwwwwwwwwwwwwwww " * 3 + " ".join(f"word{k * 37}" for k in range(30)),
+     "wwwwwwwwwwwwwwwwwwwwwwww " * 2 + " ".join(f"word{k * 37}" for k in range(30)))]
+
+
+def test_line_dedup_of_lines_without_words(spark):
+    rows = [(2 * k + j, line) for k, pair in enumerate(SIMILAR_LINES) for j, line in enumerate(pair)]
+    want = brute.line_dedup(rows)
+    assert [n for _, n in want] == [0, 1] * len(SIMILAR_LINES)
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.line_dedup(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[d] for d, _ in rows] == want
+
+
 def test_line_dedup_empty_and_repeated_rows(spark):
     assert line_dedup.line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     twice = spark.createDataFrame([(1, "same line"), (1, "same line"), (0, "same line\nown")], "doc_id long, text string")
