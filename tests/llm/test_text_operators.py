@@ -151,13 +151,15 @@ SIMILAR_LINES = [
      "https://cdn.example.org/static/build/2024/assets/img/products/lamps/desk-lamp-matte-black-01.jpg (copy)"),
     ("\t".join(f"column{k * 7919}" for k in range(12)), "\t".join(f"column{k * 7919 + (k == 0)}" for k in range(12))),
     (",".join(f"{k * 104729 % 99991}" for k in range(40)), ",".join(f"{k * 104729 % 99991}" for k in range(40)).replace(",", " ,", 1)),
+    ("Comments", "Comments:"), ("Download", "Downloads"), ("-----", "----------"), ("******", "*******"), ("=" * 40, "=" * 80),
+    ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz" * 3),
     ("日本語の長い文をここに書きます。空白はひとつもありませんし、文字の種類も多いので署名は十分に長くなります。",
      "日本語の長い文をここに書きます。空白はひとつもありませんし、文字の種類も多いので署名は十分に長くなります!"),
     ("wwwwwwwwwwwwwwwwwwwwwwww " * 3 + " ".join(f"word{k * 37}" for k in range(30)),
      "wwwwwwwwwwwwwwwwwwwwwwww " * 2 + " ".join(f"word{k * 37}" for k in range(30)))]
 
 
-def test_line_dedup_of_lines_without_words(spark):
+def test_line_dedup_of_lines_without_words_and_of_short_lines(spark):
     rows = [(2 * k + j, line) for k, pair in enumerate(SIMILAR_LINES) for j, line in enumerate(pair)]
     want = brute.line_dedup(rows)
     assert [n for _, n in want] == [0, 1] * len(SIMILAR_LINES)
