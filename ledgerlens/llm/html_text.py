@@ -4,8 +4,9 @@
 has its text, its tags and its place in the element tree. The text-to-tag
 ratio of the lines is smoothed with a Gaussian, and lines above the standard
 deviation of the smoothed ratios form the content cluster. The content region
-is the deepest element that holds nearly all of that cluster; its lines are
-returned, short ones too, without elements that are never article text.
+is the smallest element that holds all of that cluster, widened to the
+outermost ``article`` or ``main`` around it; its lines are returned, short
+ones too, without elements that are never article text.
 
 Cases: null or empty html, or a page without text outside such elements, gives
 an empty text; unclosed and stray tags are tolerated (an end tag closes what
@@ -18,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody thead tr ul".split())
 CONTAINER = frozenset("article body center div html main section".split())
+WHOLE = frozenset("article main".split())   # hold whole articles
 NEVER = frozenset(
     "aside button dialog fieldset footer form head header iframe menu nav noscript object script select style svg "
     "template textarea".split())
@@ -41,7 +44,6 @@ NAMES = frozenset(
     "nav navbar navigation newsletter notice notification pager pagination popup promo promoted promotion recommended "
     "related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "toolbar widget widgets".split())
-HOLDS = 0.9     # share of the content cluster that the region must hold
 SIGMA = 1.0     # of the Gaussian, in lines
 
 _NAME = re.compile(r"[a-z]+")
@@ -73,6 +75,7 @@ class _Lines(HTMLParser):
         self.skipped = False  # text seen in the outside element that is open
         self.text: list[str] = []
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
+        self.whole: set[int] = set()  # numbers of the elements that hold whole articles
 
     def updatepos(self, i, j):  # line numbers of the source are not used
         return j
@@ -98,6 +101,8 @@ class _Lines(HTMLParser):
         if tag not in VOID:
             self.number += 1
             self.links += tag == "a"
+            if tag in WHOLE:
+                self.whole.add(self.number)
             outside = _outside(tag, attrs)
             self.outside += outside
             self.open.append((tag, self.number, outside))
@@ -140,23 +145,16 @@ class _Lines(HTMLParser):
         return self.lines
 
 
-def _region(lines) -> tuple[int, ...]:
-    """Elements around the content: the path to the deepest one that holds it."""
+def _region(lines, whole: set[int]) -> tuple[int, ...]:
+    """Elements around the content: the path to the smallest one that holds all
+    of it, or to the outermost of ``whole`` on that path."""
     ratio = np.array([plain / (tags + 1) if kept else 0.0 for _, plain, tags, _, kept in lines])
     smooth = np.convolve(ratio, _KERNEL / _KERNEL.sum())[2:len(ratio) + 2]
     level = smooth.std()
-    content = [k for k in range(len(lines)) if lines[k][4] and smooth[k] >= level and ratio[k] > 0]
-    mass: dict[int, int] = {}
-    for k in content:
-        for n in lines[k][3]:
-            mass[n] = mass.get(n, 0) + lines[k][1]
-    total = sum(lines[k][1] for k in content)
-    path: tuple[int, ...] = ()
-    for k in content:
-        deep = tuple(n for n in lines[k][3] if mass[n] >= HOLDS * total)
-        if len(deep) > len(path):
-            path = deep
-    return path
+    around = [lines[k][3] for k in range(len(lines)) if lines[k][4] and smooth[k] >= level and ratio[k] > 0]
+    path = tuple(commonprefix(around))
+    at = next((k for k, n in enumerate(path) if n in whole), len(path))
+    return path[:at + 1]
 
 
 def main_text(html: str | None) -> str:
@@ -165,7 +163,7 @@ def main_text(html: str | None) -> str:
     lines = parser.result()
     if not any(x[4] for x in lines):
         return ""
-    path = _region(lines)
+    path = _region(lines, parser.whole)
     return "\n\n".join(text for text, _, _, around, kept in lines if kept and around[:len(path)] == path)
 
 

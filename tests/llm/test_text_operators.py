@@ -94,6 +94,29 @@ def test_main_text(wrap):
         assert main_text(AROUND + wrap.format(inner) + AFTER) == "\n\n".join(["Head line", *WANT])
 
 
+def _long(k, n=300):
+    return f"Paragraph {k} " + "of plain words " * (n // 15)
+
+
+def _blocks(*texts):
+    return "\n\n".join(" ".join(t.split()) for t in texts)
+
+
+def test_main_text_of_nested_bodies_and_several_sections():
+    ten = [_long(k) for k in range(10)]
+    body = "".join(f"<p>{p}</p>" for p in ten)
+    lead = _long("lead", 180)
+    for outer in ("article", "main", "div"):
+        page = f"<{outer}><h1>Title</h1><p>{lead}</p><div class=body>{body}</div></{outer}>"
+        assert main_text(AROUND + page + AFTER) == _blocks("Title", lead, *ten)
+        page = f"<{outer}><section>{body}</section><section><h2>Head</h2><p>{lead}</p></section></{outer}>"
+        assert main_text(AROUND + page + AFTER) == _blocks(*ten, "Head", lead)
+    page = f"<article><section>{body}</section><section><h2>Head</h2><p>Few <b>words</b>.</p></section></article>"
+    assert main_text(AROUND + page + AFTER) == _blocks(*ten, "Head", "Few words.")
+    page = f"<main><h1>Title</h1><article>{body}</article><p>Few words.</p></main>"
+    assert main_text(AROUND + page + AFTER) == _blocks("Title", *ten, "Few words.")
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [None, "", "<p>", "plain text", "<script>x", "<!-- c --><p>a&lt;b&#233;</p>", "</div></p><p>x</b></p>", "<nav>only menu</nav>",
              "<div>" * 3000 + "deep" + "</div>" * 3000, "<p>" + "long " * 20_000]
