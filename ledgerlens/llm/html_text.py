@@ -6,7 +6,10 @@ ratio of the lines is smoothed with a Gaussian, and lines above the standard
 deviation of the smoothed ratios form the content cluster. The content region
 is the smallest element that holds all of that cluster, widened to the
 outermost ``article`` or ``main`` around it; its lines are returned, short
-ones too, without elements that are never article text.
+ones too, without elements that are never article text. Of the lists in it,
+only menus are left out: lists of links alone, outside ``article`` and
+``main``, that come before all content, or after all content where the region
+is the page itself.
 
 Cases: null or empty html, or a page without text outside such elements, gives
 an empty text; unclosed and stray tags are tolerated (an end tag closes what
@@ -34,6 +37,8 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody thead tr ul".split())
 CONTAINER = frozenset("article body center div html main section".split())
 WHOLE = frozenset("article main".split())   # hold whole articles
+PAGE = frozenset("body html".split())
+LIST = frozenset("li menu ol ul".split())
 NEVER = frozenset(
     "aside button dialog fieldset footer form head header iframe menu nav noscript object script select style svg "
     "template textarea".split())
@@ -66,7 +71,7 @@ def _outside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Collects (text, text outside links, tags, elements around, kept)."""
+    """Collects (text, text outside links, tags, elements around, kept, list)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -74,8 +79,10 @@ class _Lines(HTMLParser):
         self.number = self.links = self.tags = self.plain = self.outside = 0
         self.skipped = False  # text seen in the outside element that is open
         self.text: list[str] = []
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int | None]] = []
         self.whole: set[int] = set()  # numbers of the elements that hold whole articles
+        self.page: set[int] = set()   # and of those that hold the page
+        self.worded: set[int] = set()  # numbers of the lists with text outside links
 
     def updatepos(self, i, j):  # line numbers of the source are not used
         return j
@@ -84,8 +91,11 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             around = tuple(n for tag, n, _ in self.open if tag in CONTAINER)
-            linked_item = not self.plain and any(tag == "li" for tag, _, _ in self.open)
-            self.lines.append((text, self.plain, self.tags, around, not linked_item))
+            item = any(tag == "li" for tag, _, _ in self.open)
+            outer = next(n for tag, n, _ in self.open if tag in LIST) if item else None
+            if item and self.plain:
+                self.worded.add(outer)
+            self.lines.append((text, self.plain, self.tags, around, True, outer))
         self.text, self.tags, self.plain = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -103,6 +113,8 @@ class _Lines(HTMLParser):
             self.links += tag == "a"
             if tag in WHOLE:
                 self.whole.add(self.number)
+            elif tag in PAGE:
+                self.page.add(self.number)
             outside = _outside(tag, attrs)
             self.outside += outside
             self.open.append((tag, self.number, outside))
@@ -118,7 +130,7 @@ class _Lines(HTMLParser):
             self.outside -= outside
         del self.open[k:]
         if self.skipped and not self.outside:
-            self.lines.append(("", 0, 1, (), False))
+            self.lines.append(("", 0, 1, (), False, None))
             self.skipped = False
 
     def handle_endtag(self, tag):
@@ -145,16 +157,17 @@ class _Lines(HTMLParser):
         return self.lines
 
 
-def _region(lines, whole: set[int]) -> tuple[int, ...]:
+def _region(lines, whole: set[int]) -> tuple[tuple[int, ...], int, int]:
     """Elements around the content: the path to the smallest one that holds all
-    of it, or to the outermost of ``whole`` on that path."""
-    ratio = np.array([plain / (tags + 1) if kept else 0.0 for _, plain, tags, _, kept in lines])
+    of it, or to the outermost of ``whole`` on that path; and the first and the
+    last line of the content."""
+    ratio = np.array([plain / (tags + 1) if kept else 0.0 for _, plain, tags, _, kept, _ in lines])
     smooth = np.convolve(ratio, _KERNEL / _KERNEL.sum())[2:len(ratio) + 2]
     level = smooth.std()
-    around = [lines[k][3] for k in range(len(lines)) if lines[k][4] and smooth[k] >= level and ratio[k] > 0]
-    path = tuple(commonprefix(around))
+    content = [k for k in range(len(lines)) if lines[k][4] and smooth[k] >= level and ratio[k] > 0]
+    path = tuple(commonprefix([lines[k][3] for k in content]))
     at = next((k for k, n in enumerate(path) if n in whole), len(path))
-    return path[:at + 1]
+    return path[:at + 1], min(content, default=len(lines)), max(content, default=0)
 
 
 def main_text(html: str | None) -> str:
@@ -163,8 +176,15 @@ def main_text(html: str | None) -> str:
     lines = parser.result()
     if not any(x[4] for x in lines):
         return ""
-    path = _region(lines, parser.whole)
-    return "\n\n".join(text for text, _, _, around, kept in lines if kept and around[:len(path)] == path)
+    path, first, last = _region(lines, parser.whole)
+    page = parser.page.issuperset(path)
+
+    def menu(k, around, outer):
+        return (outer is not None and outer not in parser.worded and parser.whole.isdisjoint(around)
+                and (k < first or page and k > last))
+
+    return "\n\n".join(text for k, (text, _, _, around, kept, outer) in enumerate(lines)
+                       if kept and around[:len(path)] == path and not menu(k, around, outer))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

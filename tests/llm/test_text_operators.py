@@ -117,6 +117,24 @@ def test_main_text_of_nested_bodies_and_several_sections():
     assert main_text(AROUND + page + AFTER) == _blocks("Title", *ten, "Few words.")
 
 
+def test_main_text_keeps_lists_of_links_of_the_article():
+    ten = [_long(k) for k in range(10)]
+    body = "".join(f"<p>{p}</p>" for p in ten)
+    menu = "<ul><li><a href=/>Home</a><li><a href=/x>More</a></ul>"
+    links = "<ul><li><a href=/s>Source one</a></li><li><a href=/t>Source two</a></li></ul>"
+    mixed = "<ol><li>A book by <b>somebody</b></li><li><a href=/s>Source one</a></li></ol>"
+    for outer in ("article", "main", "div"):
+        page = AROUND + menu + f"<{outer}><h1>Title</h1>{body}<h2>Sources</h2>{links}</{outer}>" + menu + AFTER
+        assert main_text(page) == _blocks("Title", *ten, "Sources", "Source one", "Source two")
+        page = AROUND + f"<{outer}>{body}{mixed}</{outer}>" + AFTER
+        assert main_text(page) == _blocks(*ten, "A book by somebody", "Source one")
+    assert main_text(f"<article>{links}{body}</article>") == _blocks("Source one", "Source two", *ten)
+    half = body[:len(body) // 2].rsplit("<p>", 1)[0]
+    page = f"<body>{menu}{half}{links}{half}{menu}</body>"
+    some = ten[:half.count("<p>")]
+    assert main_text(page) == _blocks(*some, "Source one", "Source two", *some)
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [None, "", "<p>", "plain text", "<script>x", "<!-- c --><p>a&lt;b&#233;</p>", "</div></p><p>x</b></p>", "<nav>only menu</nav>",
              "<div>" * 3000 + "deep" + "</div>" * 3000, "<p>" + "long " * 20_000]
