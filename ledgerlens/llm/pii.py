@@ -3,15 +3,20 @@
 1. Seeds: fixed patterns with their checks find e-mail and IP addresses, card
    and phone numbers, leftmost and not overlapping per kind.
 2. Candidates: other identifier-like tokens (an @, or four digits or more)
-   that overlap no seed.
+   that overlap no seed. Groups of digits joined by single spaces, brackets or
+   hyphens are one token.
 3. Every instance (seed or candidate text) occurs after a context, the token on
    its left. Contexts are the lexical patterns; occurrences make a graph of
    patterns and instances.
-4. For ``ROUNDS`` rounds a pattern's confidence is the sum of the scores of the
+4. In each round a pattern's confidence is the sum of the scores of the
    instances it precedes over *all* tokens it precedes in the corpus plus one,
    if at least ``SUPPORT`` different known instances stand behind it; an
    unknown instance's score is the noisy-or of its patterns. Instances scoring
-   ``ACCEPT`` or more are known in the next round.
+   ``ACCEPT`` or more are known in the next round. Rounds go on until no
+   confidence moves by more than ``TOLERANCE`` and no instance becomes known;
+   a warning says if that took more than ``ROUNDS``. An instance of one pattern
+   alone scores that pattern's confidence, which is solved for within a round:
+   the limit is the same, but needs no rounds of its own.
 5. Candidates accepted in the end become spans of the kind their patterns'
    seeds mostly have.
 
@@ -27,6 +32,7 @@ gives an empty result; other columns are kept in ``mask`` and not read here.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -35,18 +41,23 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, materialize
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+ROUNDS = 100
+TOLERANCE = 1e-6
 SUPPORT = 3
 ACCEPT = 0.8
 TOKEN = 4   # digits that make a token identifier-like
 
 _EDGE = r"[^\s:=(\"'<>\[\])},;]"   # characters of an identifier-like token
+_GROUP = r"(?:\([0-9]++\)|[0-9]++)"
+_STOP = rf"[.!?]*+(?:\s|$)|(?!{_EDGE})"
+_RUN = (rf"(?:\(\+[0-9]++\)|\+?+{_GROUP})"       # groups of digits, the last one up to the end of the token
+        rf"(?:[\x20-]?+{_GROUP}(?=-\(?[0-9]|{_STOP}))++(?={_STOP})")
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "token": rf"(?:\G|(?<!{_EDGE}))(?:(?![0-9@]){_EDGE})*+[0-9@]{_EDGE}*+",
+    "token": rf"(?:\G|(?<!{_EDGE}))(?:{_RUN}|(?:(?![0-9@]){_EDGE})*+[0-9@]{_EDGE}*+)",
 }
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 _CUT = r"(?<=[:=(\"'<>\[\])},;])[ ]*|[ ]+"   # contexts end at white space or one of these
@@ -126,25 +137,45 @@ def _context_totals(docs: DataFrame, lefts: DataFrame) -> DataFrame:
 
 def _bootstrap(occurrences: DataFrame, totals: DataFrame) -> DataFrame:
     """hit, kind of the candidates accepted by the pattern-instance graph."""
-    graph = materialize(occurrences.join(totals, "left"))
-    instances = graph.where("kind != 'token'").select("hit").distinct().withColumn("score", F.lit(1.0))
-    known = instances
+    graph = occurrences.join(totals, "left").groupBy("left", "hit", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.max("total").alias("total"))
+    hits = graph.groupBy("hit").agg(F.bool_or(F.col("kind") != "token").alias("seed"), F.count_distinct("left").alias("lefts"))
+    graph = materialize(graph.join(hits, "hit"))
+    tokens = graph.where("NOT seed")
+    alone = ~F.col("seed") & (F.col("lefts") == 1)
+    fixed = materialize(graph.groupBy("left").agg(
+        F.sum(F.when(F.col("seed"), F.col("n")).otherwise(0)).alias("mass"), F.max("total").alias("total"),
+        F.count_distinct(F.when(F.col("seed"), F.col("hit"))).alias("seeds"),
+        F.sum(F.when(alone, F.col("n")).otherwise(0)).alias("own"), F.count_if(alone).alias("own_hits")).where("seeds > 0"))
+    several = tokens.where("lefts > 1").select("left", "hit", "n")
+    none = fixed.select("left", F.lit(0.0).alias("confidence")).limit(0)
+    patterns, state = none, None
     for _ in range(ROUNDS):
-        scored = graph.join(known, "hit", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-        patterns = (scored.groupBy("left").agg(
-            F.sum("score").alias("mass"), F.max("total").alias("total"),
-            F.count_distinct(F.when(F.col("score") >= ACCEPT, F.col("hit"))).alias("support"))
-            .where(F.col("support") >= SUPPORT)
-            .select("left", F.least(F.col("mass") / (F.col("total") + 1), F.lit(1.0)).alias("confidence")))
-        fresh = (graph.where("kind = 'token'").select("left", "hit").distinct().join(patterns, "left")
-                 .groupBy("hit").agg((1 - F.product(1 - F.col("confidence"))).alias("score")))
-        known = materialize(instances.unionByName(fresh.join(instances, "hit", "left_anti")))
+        # instances of several patterns by the last round's confidences
+        scores = (several.join(patterns, "left").groupBy("hit").agg((1 - F.product(1 - F.col("confidence"))).alias("score")))
+        more = (several.join(scores, "hit").groupBy("left").agg(
+            F.sum(F.col("n") * F.col("score")).alias("more"), F.count_if(F.col("score") >= ACCEPT).alias("more_known")))
+        last = patterns.select("left", F.col("confidence").alias("last"))
+        found = fixed.join(more, "left", "left").join(last, "left", "left").na.fill(0, ["more", "more_known", "last"])
+        # instances of this pattern alone score its confidence c: c = (mass + own * c) / (total + 1)
+        known = F.col("seeds") + F.col("more_known") + F.when(F.col("last") >= ACCEPT, F.col("own_hits")).otherwise(0)
+        patterns = materialize(found.where(known >= SUPPORT).select("left", "last", F.least(
+            (F.col("mass") + F.col("more")) / F.greatest(F.col("total") + 1 - F.col("own"), F.lit(1)), F.lit(1.0)).alias("confidence"), known.alias("known")))
+        now = patterns.agg(F.max(F.abs(F.col("confidence") - F.col("last"))).alias("moved"),
+                           F.count(F.lit(1)).alias("n"), F.sum("known").alias("known")).first()
+        if not now["n"] or state == (now["n"], now["known"]) and now["moved"] <= TOLERANCE:
+            break
+        state = now["n"], now["known"]
+    else:
+        warnings.warn(f"scores still move by {now['moved']} after {ROUNDS} rounds", RuntimeWarning, stacklevel=2)
+    patterns = patterns.select("left", "confidence")
+    known = (tokens.join(patterns, "left").groupBy("hit").agg((1 - F.product(1 - F.col("confidence"))).alias("score")))
     patterns = patterns.where("confidence > 0")
     votes = (graph.where("kind != 'token'").join(patterns, "left").groupBy("left").agg(
-        *(F.count_if(F.col("kind") == k).alias(k) for k in KINDS)))
-    accepted = known.where(F.col("score") >= ACCEPT).join(instances.select("hit"), "hit", "left_anti")
-    tally = (graph.where("kind = 'token'").join(accepted, "hit").join(votes, "left")
-             .groupBy("hit").agg(*(F.sum(k).alias(k) for k in KINDS)))
+        *(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in KINDS)))
+    accepted = known.where(F.col("score") >= ACCEPT).select("hit")
+    tally = (tokens.join(accepted, "hit").join(votes, "left")
+             .groupBy("hit").agg(*(F.sum(F.col(k) * F.col("n")).alias(k) for k in KINDS)))
     most = F.greatest(*KINDS)
     kind = reduce(lambda rest, k: F.when(F.col(k) == most, F.lit(k)).otherwise(rest), reversed(KINDS), F.lit(None))
     return tally.select("hit", kind.alias("new_kind"))

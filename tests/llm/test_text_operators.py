@@ -254,6 +254,26 @@ def test_pii_patterns_find_unseen_identifiers(spark):
     assert all([s[0] for s in got[k]] == ["card"] for k in range(11, 17))
 
 
+def test_pii_scores_settle_where_most_identifiers_are_unseen(spark):
+    text = lambda w, number: f"note {w} tel: {number} end"
+    rows = [text(k, f"+1 555 000 {1000 + k}") for k in range(5)] + [text(k, f"5550-9{k:03}") for k in range(60)]
+    rows += [f"note fax {number} end" for number in ("5550-9000", "5550-9001")]   # known from the other context
+    rows += [f"row id {k} {5000 + k}" for k in range(20)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, rows[r.doc_id][s.start:s.end]) for s in r.spans or []] for r in pii.pii_spans(docs).collect()}
+    assert all(got[5 + k] == [("phone", f"5550-9{k:03}")] for k in range(60))
+    assert got[65] == [("phone", "5550-9000")] and all(got[k] == [] for k in range(67, 87))
+
+
+def test_pii_candidates_are_whole_runs_of_digit_groups(spark):
+    unseen = ["(020) 7946 0958", "020 7946-0958", "7946 0960", "79460961", "7946-0962x", "020-7946 0963"]
+    rows = [f"note tel: +1 555 000 {1000 + k} end" for k in range(12)]
+    rows += [f"note tel: {number}{after}" for number in unseen for after in (" end", ".", "", ", 12 more", "\n55")]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [rows[r.doc_id][s.start:s.end] for s in r.spans or []] for r in pii.pii_spans(docs).collect()}
+    assert [got[12 + k] for k in range(5 * len(unseen))] == [[number] for number in unseen for _ in range(5)]
+
+
 def test_mask(spark):
     rows = [(0, "x a@b.cd y 8.8.8.8"), (1, None), (2, "none"), (3, "4111 1111 1111 1111"), (4, "+4111111111111111")]
     docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, rid string")
