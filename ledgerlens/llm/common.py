@@ -26,6 +26,21 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a row number ``name`` that stays the same whenever the
+    frame is read again.
+
+    Rows of a plan without an exchange (a file scan and what is done row by
+    row) sit in the same partitions each time. Behind a shuffle or a join that
+    adaptive execution may re-plan they need not, so there the numbered rows
+    are written once and read back.
+    """
+    out = docs.withColumn(name, F.monotonically_increasing_id())
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    moves = ("AdaptiveSparkPlan", "Exchange", "Sample", "Limit", "Coalesce")
+    return materialize(out) if any(x in plan for x in moves) else out
+
+
 def _written(df: DataFrame) -> tuple[DataFrame, tuple]:
     out = materialize(df)
     row = out.agg(F.count(F.lit(1)).alias("n"),

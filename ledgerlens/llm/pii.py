@@ -38,7 +38,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize
+from .common import broadcast_if_small, materialize, numbered
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 100
@@ -182,13 +182,12 @@ def _bootstrap(occurrences: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def _numbered(docs: DataFrame, text: str) -> DataFrame:
-    # a file scan numbers its rows the same way whenever it is read
-    return docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("text", F.coalesce(F.col(text), F.lit("")))
+    return numbered(docs, "rid").withColumn("text", F.coalesce(F.col(text), F.lit("")))
 
 
-def find_spans(numbered: DataFrame) -> DataFrame:
+def find_spans(rows: DataFrame) -> DataFrame:
     """rid, kind, start, end, base (true for seeds) of all spans."""
-    found = _matches(numbered.select("rid", "text"))
+    found = _matches(rows.select("rid", "text"))
     found = materialize(found.where(_passes(F.col("kind"), F.col("hit"))))
     spans = materialize(_candidates(found))
     occurrences = spans.where("left != ''").select("left", "hit", "kind")
@@ -198,18 +197,18 @@ def find_spans(numbered: DataFrame) -> DataFrame:
     base = spans.where("kind != 'token'").select("rid", "kind", "start", "end", F.lit(True).alias("base"))
     if lefts.isEmpty():  # no context has enough instances to become a pattern
         return base
-    accepted = _bootstrap(occurrences, _context_totals(numbered.select("text"), lefts))
+    accepted = _bootstrap(occurrences, _context_totals(rows.select("text"), lefts))
     new = spans.where("kind = 'token'").join(broadcast_if_small(materialize(accepted)), "hit")
     return base.unionByName(new.select("rid", F.col("new_kind").alias("kind"), "start", "end", F.lit(False).alias("base")))
 
 
 def pii_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ``spans`` (array of start, kind number, kind, end, base) per input row."""
-    numbered = _numbered(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t")), "_t")
+    rows = _numbered(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t")), "_t")
     number = reduce(lambda rest, k: F.when(F.col("kind") == KINDS[k], k).otherwise(rest), range(len(KINDS)), F.lit(-1))
-    spans = find_spans(numbered).groupBy("rid").agg(F.array_sort(F.collect_list(
+    spans = find_spans(rows).groupBy("rid").agg(F.array_sort(F.collect_list(
         F.struct("start", number.alias("number"), "kind", "end", "base"))).alias("spans"))
-    return numbered.select("rid", F.col("doc_id").alias(doc_id)).join(spans, "rid", "left")
+    return rows.select("rid", F.col("doc_id").alias(doc_id)).join(spans, "rid", "left")
 
 
 def span_string(spans):
@@ -233,8 +232,8 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     stay null; all columns are kept.
     """
     names = docs.columns
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    spans = find_spans(numbered.select(F.col("_rid").alias("rid"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    rows = numbered(docs, "_rid")
+    spans = find_spans(rows.select(F.col("_rid").alias("rid"), F.coalesce(F.col(text), F.lit("")).alias("text")))
     grown = Window.partitionBy("rid").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_to", F.coalesce(F.max("end").over(grown), F.lit(0)))
     merged = spans.where(F.col("end") > F.col("_to")).select(
@@ -248,5 +247,5 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
                           e["end"].alias("at"),
                           F.concat(acc["done"], F.array(t.substr(acc["at"] + 1, e["start"] - acc["at"]), e["mark"])).alias("done")),
                       lambda acc: F.concat(F.array_join(acc["done"], ""), t.substr(acc["at"] + 1, F.length(t).cast("long"))))
-    return (numbered.join(edits, "_rid", "left")
+    return (rows.join(edits, "_rid", "left")
             .withColumn(text, F.when(F.col("_edits").isNull(), t).otherwise(out)).select(*names))

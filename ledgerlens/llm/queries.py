@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import (
     html_text,
@@ -19,6 +18,7 @@ from . import (
     quality_rules,
     url_filter,
 )
+from .common import numbered
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +44,7 @@ def op2_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = piece_lattice.load_pieces(spark, tokenizer_file("piece_bpe_32k.model"))
     words = piece_lattice.word_table(docs, *known)
-    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
-    encoded = piece_lattice.encode(numbered, words, ("rid", "doc_id"))
+    encoded = piece_lattice.encode(numbered(docs, "rid"), words, ("rid", "doc_id"))
     return piece_lattice.digests(encoded, ("rid", "doc_id")).drop("rid")
 
 

@@ -280,3 +280,27 @@ def test_mask(spark):
     got = {r.doc_id: r.text for r in pii.mask(docs).collect()}
     assert got == {0: "x <EMAIL> y <IP>", 1: None, 2: "none", 3: "<CARD>", 4: "+<CARD>"}
     assert pii.mask(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("shape", ["file", "shuffled", "joined"])
+def test_row_numbers_survive_a_shuffle(spark, tmp_path, shape):
+    """Spans, masks and dropped lines land on their own rows whatever plan the input has."""
+    rnd = random.Random(9)
+    own = ["".join(rnd.choice("abcdefghijklm ") for _ in range(40)) for _ in range(2000)]
+    rows = [(i, f"{'write to ' + str(i) + '@mail.example.com' if i % 10 == 0 else own[i][20:]} today\nx{own[i]}\n"
+             + ("the very same footer line of all" if i % 3 == 0 else own[i][::-1]), "w" * (i % 50)) for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, wide string").repartition(6).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    if shape == "shuffled":
+        docs = docs.repartition("doc_id")
+    elif shape == "joined":
+        docs = docs.join(docs.select("doc_id", F.col("wide").alias("again")), "doc_id")
+    texts = {i: t for i, t, _ in rows}
+    for r in pii.pii_spans(docs).collect():
+        hit = [texts[r.doc_id][s.start:s.end] for s in r.spans or []]
+        assert hit == ([f"{r.doc_id}@mail.example.com"] if r.doc_id % 10 == 0 else [])
+    masked = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    assert masked == {i: t.replace(f"{i}@mail.example.com", "<EMAIL>") for i, t in texts.items()}
+    left = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
+    assert all("x" + own[i] in left[i].text for i in texts)
+    assert sum("the very same footer" in r.text for r in left.values()) == 1
