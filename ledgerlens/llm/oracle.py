@@ -75,5 +75,41 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, best.r A
 FROM m
 """
 
+# the checksum of bytes b, byte by byte: its table is built from the polynomial, and every byte
+# takes one step; Latin-1 letters are one or two bytes of UTF-8
+_CRC_STEP = "xor(c >> 8, t.t[CAST(xor(c & 255, b) + 1 AS BIGINT)])"
+OP11 = rf"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+t AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+r AS MATERIALIZED (
+  SELECT doc_id, word, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-zÀ-ÿ]+')) AS word FROM documents)
+  WHERE length(word) >= 6 GROUP BY ALL),
+h AS MATERIALIZED (
+  SELECT word, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(doc_id || ':' || word, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+      ELSE [CAST(195 AS BIGINT), unicode(x) - 64] END))), lambda c, b: {_CRC_STEP}), 4294967295) AS h
+  FROM r, t),
+w AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN word[:h % length(word)] || word[h % length(word) + 2:] ELSE word END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS MATERIALIZED (SELECT word, i, word[:i - 1] || word[i + 1:] AS v FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+  UNION SELECT w.word, d.word FROM d JOIN w ON d.v = w.word
+  UNION SELECT d.word, w.word FROM d JOIN w ON d.v = w.word),
+k AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS best, max(n) AS best_n FROM p JOIN w ON w.word = b GROUP BY a),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+    CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM w LEFT JOIN k USING (word)),
+s(word, root) AS (SELECT word, word FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL),
+e AS (SELECT s.word, s.root FROM s JOIN f ON f.word = s.root WHERE f.form IS NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, e.root FROM f JOIN e USING (word)
+"""
+
 #: op8 has no SQL: its exact form is a cross join, tested in tests/llm.
-SQL: dict[str, str] = {"op1_ngram_join": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4}
+SQL: dict[str, str] = {"op1_ngram_join": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4, "op11_spelling_variants": OP11}

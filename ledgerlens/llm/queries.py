@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    fingerprints,
     html_text,
     line_dedup,
     near_vectors,
     ngram_join,
     packing,
+    periodic_runs,
     piece_lattice,
     pii,
     quality_knn,
     quality_rules,
+    spelling_variants,
     url_filter,
 )
 from .common import numbered
@@ -84,6 +87,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spelling_variants.spelling_variants(spelling_variants.word_counts(docs, spelling_variants.respelled))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.next_texts(table(spark, sf_dir, "documents"))
+
+
+#: Digest columns of the periodic-run query.
+RUN_FIELDS = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.periodic_runs(docs, fields=RUN_FIELDS, order=periodic_runs.rewritten)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_join, op2_piece_lattice, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_html_text,
-                              op7_quality_knn, op8_near_vectors, op9_packing, op10_pii)}
+                              op7_quality_knn, op8_near_vectors, op9_packing, op10_pii, op11_spelling_variants, op12_fingerprints,
+                              op13_periodic_runs)}
