@@ -16,6 +16,8 @@ from ..session import TENANT, per_tenant
 from ..sources.extract import with_line_amount
 from .ordering import global_row_number
 
+COMPLETED, NOTHING_NEW = "completed", "no recent data"
+
 
 def history_cutoff(df: DataFrame, cutoff: str, ts: str = "date_created") -> DataFrame:
     """I3 + I4: parse the timestamp and keep rows on or after ``cutoff``."""
@@ -88,15 +90,16 @@ def ingest_status(source: DataFrame, target: DataFrame, key: str, step: str) ->
     """I8 + I9: per tenant ``(step, source_max, target_max, n_new, status)``.
 
     ``status`` is ``completed`` when there is something new, which is the
-    gate downstream jobs check; otherwise ``no recent data``.
+    gate downstream jobs check; otherwise ``no recent data``. Source and target
+    are each read once.
     """
-    src = watermark(source, key, "source_max")
     tgt = watermark(target, key, "target_max")
-    new = incremental_delta(source, target, key).groupBy(TENANT).agg(
-        F.count(F.lit(1)).alias("n_new"))
-    out = src.join(tgt, TENANT, "full_outer").join(new, TENANT, "left")
-    return out.select(
-        TENANT, F.lit(step).alias("step"), "source_max", "target_max",
-        F.coalesce("n_new", F.lit(0)).alias("n_new"),
-        F.when(F.coalesce("n_new", F.lit(0)) > 0, "completed").otherwise("no recent data")
-        .alias("status"))
+    new = F.col("target_max").isNull() | (F.col(key) > F.col("target_max"))
+    src = source.select(TENANT, key).join(per_tenant(tgt), TENANT, "left").groupBy(TENANT).agg(
+        F.max(key).alias("source_max"), F.max("target_max").alias("target_max"), F.count_if(new).alias("n_new"))
+    gone = tgt.join(src.select(TENANT), TENANT, "left_anti").select(
+        TENANT, F.lit(None).cast(src.schema["source_max"].dataType).alias("source_max"), "target_max",
+        F.lit(0).cast("bigint").alias("n_new"))
+    return src.unionByName(gone).select(
+        TENANT, F.lit(step).alias("step"), "source_max", "target_max", "n_new",
+        F.when(F.col("n_new") > 0, COMPLETED).otherwise(NOTHING_NEW).alias("status"))

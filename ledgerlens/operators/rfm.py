@@ -22,11 +22,16 @@ SCALED = ["recency_z", "frequency_z", "monetary_z"]
 LOG_DIGITS = 10
 
 
-def rfm_base(sales: DataFrame, trailing_days: int | None = None) -> DataFrame:
-    """R1-R6 (+ R2 with ``trailing_days``): recency, frequency, monetary, logs."""
+def rfm_base(sales: DataFrame, trailing_days: int | None = None, last_day: DataFrame | None = None) -> DataFrame:
+    """R1-R6 (+ R2 with ``trailing_days``): recency, frequency, monetary, logs.
+
+    ``last_day`` (company_id, last_day) where it is known already.
+    """
     df = sales.select(TENANT, "customer_id", "email", "just_date", "order_id", "total")
     if trailing_days is not None:                                     # R2
-        last = df.groupBy(TENANT).agg(F.max("just_date").alias("_ll_max"))
+        if last_day is None:
+            last_day = df.groupBy(TENANT).agg(F.max("just_date").alias("last_day"))
+        last = last_day.select(TENANT, F.col("last_day").alias("_ll_max"))
         df = (df.join(per_tenant(last), TENANT)
               .filter(F.col("just_date") >= F.date_sub("_ll_max", trailing_days))
               .drop("_ll_max"))
@@ -196,9 +201,9 @@ def rfm_clusters(scaled: DataFrame, rounds: int = KMEANS_ROUNDS) -> DataFrame:
 
 
 def rfm_table(sales: DataFrame, summary: DataFrame, trailing_days: int | None = None,
-              clusters: bool = True) -> DataFrame:
+              clusters: bool = True, last_day: DataFrame | None = None) -> DataFrame:
     """The published ``rfm`` (or ``rfm_one`` with ``trailing_days=365``) table."""
-    base = rfm_base(sales, trailing_days)
+    base = rfm_base(sales, trailing_days, last_day)
     cols = list(RFM_COLUMNS)
     if clusters:
         base = rfm_clusters(rfm_scaled(base)).drop(*SCALED, "cluster_converged")

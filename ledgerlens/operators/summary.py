@@ -45,8 +45,12 @@ def customer_days(df: DataFrame) -> DataFrame:
         F.coalesce(F.datediff("created_at", F.lag("created_at").over(w)), F.lit(0)).cast("bigint"))
 
 
-def sales_summary(sales: DataFrame) -> DataFrame:
-    """E1-E14 on ``sales``; output = sales columns + the summary columns."""
+def sales_summary(sales: DataFrame, last_day: DataFrame | None = None) -> DataFrame:
+    """E1-E14 on ``sales``; output = sales columns + the summary columns.
+
+    ``last_day`` (company_id, last_day) is the tenant's last day of sales where it
+    is known already (written with the table); else it is taken from the rows.
+    """
     df = valid_dates(sales)
     df = df.withColumn("created_at", F.to_date("date_created")).filter(
         F.col("created_at").isNotNull() & F.col("email").isNotNull())
@@ -69,8 +73,10 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     den = F.col("len").cast("decimal(38,0)") * (F.col("len") - 1).cast("decimal(38,0)")
     std = F.when(F.col("len") > 1,
                  F.sqrt(num.cast("double") / den.cast("double"))).otherwise(F.lit(None))
-    last_day = df.groupBy(TENANT).agg(F.max("just_date").alias("_ll_last"))    # E11
-    day_stats = (days.join(per_tenant(last_day), TENANT)
+    if last_day is None:
+        last_day = df.groupBy(TENANT).agg(F.max("just_date").alias("last_day"))
+    last = last_day.select(TENANT, F.col("last_day").alias("_ll_last"))        # E11
+    day_stats = (days.join(per_tenant(last), TENANT)
                  .withColumn("mean", s / n)
                  .withColumn("std_", F.coalesce(F.lit(STD_FACTOR) * std, F.lit(0.0)))
                  .withColumn("diff", F.datediff("max", "min").cast("double"))      # E9

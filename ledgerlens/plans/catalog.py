@@ -22,8 +22,8 @@ from ..operators import rfm as R
 from ..operators import series as FS
 from ..operators import vendor as V
 from ..operators.churn_gap import gap_churn
-from ..operators.sales import clean_sales
-from ..operators.summary import sales_summary
+from ..operators.sales import SALES_COLUMNS, clean_sales
+from ..operators.summary import SUMMARY_EXTRA, sales_summary
 from ..session import TENANT, ensure_checkpoint_dir, materialize, per_tenant
 from ..sources import sinks as K
 from ..sources import standins as S
@@ -105,6 +105,59 @@ def _po_snapshot(spark, sf):
     return src, I.surrogate_index(_loaded(src, "po_no"), S.PURCHASE_INDEX_ORDER)
 
 
+def _landed(rows: DataFrame, key: str, new: bool) -> DataFrame:
+    """First or second day's share of the headers (see SNAPSHOT_SHARES)."""
+    top = rows.groupBy(TENANT).agg(F.max(key).alias("_ll_top"))
+    share = F.create_map(*(F.lit(x) for pair in SNAPSHOT_SHARES.items() for x in pair))[F.col(TENANT)]
+    cut = per_tenant(top.select(TENANT, F.floor(F.col("_ll_top") * share).alias("_ll_cut")))
+    old = F.col("_ll_cut").isNotNull() & (F.col(key) <= F.col("_ll_cut"))
+    return rows.join(cut, TENANT).where(~old if new else old).drop("_ll_cut")
+
+
+def two_days(spark, sf, only: Callable[[str], bool]):
+    """Two deliveries and two daily runs; the warehouse, the second day's status and
+    the files of every table before and after it."""
+    from .daily import daily_run
+    from .refresh import Warehouse
+    root = f"{ensure_checkpoint_dir(spark)}/daily-{uuid.uuid4().hex}"
+    wh = Warehouse(spark, f"{root}/warehouse")
+    S.land(spark, sf, f"{root}/landing", lambda rows, key: _landed(rows, key, False))
+    daily_run(wh, f"{root}/landing", only)
+    tables = list(wh.timings)
+    before = {t: K.tenant_files(spark, wh.path(t)) for t in tables}
+    S.land(spark, sf, f"{root}/landing", lambda rows, key: _landed(rows, key, True))
+    status = daily_run(wh, f"{root}/landing", only)
+    return wh, status, before, {t: K.tenant_files(spark, wh.path(t)) for t in tables}
+
+
+def q_daily_run_summary(spark, sf):
+    """I5 + I7 + I8 + I9: ``sales_summary`` of every tenant after two daily runs."""
+    wh, *_ = two_days(spark, sf, lambda group: False)
+    return publish(wh.read("sales_summary").select(*SALES_COLUMNS, *SUMMARY_EXTRA))
+
+
+def q_daily_run_items(spark, sf):
+    """I6 + I9: spend per item of every tenant after two daily runs."""
+    wh, *_ = two_days(spark, sf, lambda group: group == "vendor")
+    return (wh.read("vendor_spend_analysis").groupBy(TENANT, "item_description")
+            .agg(F.count("index").alias("lines"), F.max("index").alias("last_index"), money_sum("price").alias("spend"),
+                 F.max("spend_class").alias("spend_class"), F.max("no_of_pos").alias("no_of_pos")))
+
+
+def q_daily_run_status(spark, sf):
+    """I8 + I9: the second day's status rows."""
+    return publish(two_days(spark, sf, lambda group: False)[1], ("target_max",))
+
+
+def q_daily_run_files(spark, sf):
+    """Per table and tenant, what the second day did to its files."""
+    _, _, before, after = two_days(spark, sf, lambda group: group in ("vendor", "gap_churn"))
+    rows = [(t, folder.split("=", 1)[1], "new" if folder not in before[t] else
+             "kept" if before[t][folder] == files else "rebuilt")
+            for t, folders in after.items() for folder, files in folders.items()]
+    return spark.createDataFrame(rows, f"table string, {TENANT} string, files string")
+
+
 def q_incremental_completeness(spark, sf):
     """I5 + I6: per tenant, lines of source, target and delta (target + delta = source)."""
     parts = []

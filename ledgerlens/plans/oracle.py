@@ -600,6 +600,21 @@ def snapshot_sql(kind: str) -> str:
     ON COALESCE(a.company_id, b.company_id) = n.company_id)"""
 
 
+def day_sql(src: str, key: str, step: str) -> str:
+    """Status rows of the second day's pull."""
+    return f"""
+{step}_cut AS (
+  SELECT company_id, max({key}) AS source_max, CAST(floor(max({key}) * CASE company_id WHEN 'AUTOMOBILE' THEN 0.25::DOUBLE
+           WHEN 'BUILDING' THEN 0.5 WHEN 'FURNITURE' THEN 0.75 WHEN 'MACHINERY' THEN 1.0 END) AS BIGINT) AS cut
+  FROM {src} GROUP BY company_id),
+{step} AS (
+  SELECT company_id, '{step}' AS step, max(source_max) AS source_max, max({key}) FILTER ({key} <= cut) AS target_max,
+         count(*) FILTER (cut IS NULL OR {key} > cut) AS n_new,
+         CASE WHEN count(*) FILTER (cut IS NULL OR {key} > cut) > 0 THEN 'completed' ELSE 'no recent data' END AS status,
+         count(*) FILTER (cut IS NULL OR {key} > cut) > 0 AS refreshed
+  FROM {src} JOIN {step}_cut USING (company_id) GROUP BY company_id)"""
+
+
 def build() -> dict[str, str]:
     from .catalog import COHORT_RUN_DAY, COHORT_SCAN_DAYS, HISTORY_CUTOFF, TRAILING_DAYS, Z_DIGITS
     import datetime as dt
@@ -635,6 +650,21 @@ def build() -> dict[str, str]:
         f"SELECT company_id, '{step}' AS step, '{part}' AS part, count(*) AS lines FROM {src} GROUP BY company_id"
         for step, kind, full in (("recent_order", "order", "raw_orders"), ("recent_vendor", "po", "po_prepared"))
         for part, src in (("source", full), ("target", f"{kind}_target"), ("delta", f"{kind}_delta"))))
+    # the daily run: after two days the warehouse is that of a full build
+    q["daily_run_summary"] = q["tenant_sales_summary"]
+    two = [OM, PM, day_sql("raw_orders", "order_no", "recent_order"), day_sql("po_plain", "po_no", "recent_vendor")]
+    two[1] += ", po_plain AS (SELECT *, unit_price * qty_ordered AS price, CAST(year(date_created) AS INTEGER) AS year FROM purchase_extract)"
+    q["daily_run_status"] = with_(*two) + " SELECT * REPLACE (CAST(target_max AS DOUBLE) AS target_max) FROM (SELECT * FROM recent_order UNION ALL SELECT * FROM recent_vendor)"
+    q["daily_run_files"] = with_(*two) + f""" SELECT t."table", s.company_id,
+        CASE WHEN s.target_max IS NULL THEN 'new' WHEN s.n_new > 0 THEN 'rebuilt' ELSE 'kept' END AS files
+        FROM (SELECT * FROM recent_order UNION ALL SELECT * FROM recent_vendor) s
+        JOIN (VALUES ('recent_order', 'sales'), ('recent_order', 'sales_summary'), ('recent_order', 'gap_churn'),
+                     ('recent_vendor', 'vendor_spend_analysis'), ('recent_vendor', 'vendor_deals')) t(step, "table") USING (step)"""
+    plain = PM.replace("CASE WHEN po_no % 50 = 0 THEN NULL ELSE po_no END AS po_no", "po_no AS po_no")
+    # keys are appended in their order, so line numbers are those of one load
+    q["daily_run_items"] = with_(plain, VENDOR) + f""" SELECT company_id, item_description, count("index") AS lines,
+        max("index") AS last_index, {MS('price')} AS spend, max(spend_class) AS spend_class, max(no_of_pos) AS no_of_pos
+        FROM vendor_spend_analysis GROUP BY company_id, item_description"""
     q["append_with_key"] = with_(OM, snapshot_sql("order")) + """ SELECT * FROM order_delta d
         WHERE d."index" IS NOT NULL AND NOT EXISTS (
           SELECT 1 FROM order_target t WHERE t.company_id = d.company_id AND t."index" = d."index")"""

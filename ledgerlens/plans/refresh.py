@@ -12,7 +12,9 @@ dependencies:
 Tables read by several jobs are written once and read back (never
 recomputed); every table is replaced as a whole, partitioned by
 ``company_id``, so re-running a refresh is idempotent and a tenant without
-rows is gone.
+rows is gone. Given a list of tenants, only theirs are read and replaced.
+The last day of each tenant's sales, which several jobs compare with, comes from
+the footers of the written ``sales`` files.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cohort as H
 from ..operators import forecast as FC
@@ -30,8 +33,9 @@ from ..operators import vendor as V
 from ..operators.churn_gap import gap_churn
 from ..operators.sales import clean_sales
 from ..operators.summary import sales_summary
-from ..sources.sinks import write_overwrite
-from ..sources.tables import read_partitioned
+from ..session import TENANT
+from ..sources.sinks import write_append, write_overwrite, write_tenants
+from ..sources.tables import footer_maxima, path_exists, read_partitioned
 
 
 class Warehouse:
@@ -45,47 +49,86 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def write(self, name: str, build: Callable[[], DataFrame],
-              sort_within: list[str] | None = None) -> DataFrame:
-        """Build (some operators run eager steps while building) and write."""
+              sort_within: list[str] | None = None, tenants: list[str] | None = None) -> DataFrame:
+        """Build (some operators run eager steps while building) and write.
+
+        With ``tenants`` only theirs are replaced, and only theirs are returned.
+        """
         t = time.perf_counter()
-        write_overwrite(build(), self.path(name), sort_within)
+        if tenants is None:
+            write_overwrite(build(), self.path(name), sort_within)
+        else:
+            write_tenants(build(), self.path(name), tenants, sort_within)
         self.timings[name] = round(time.perf_counter() - t, 3)
-        return self.read(name)
+        return self.read(name, tenants)
 
-    def read(self, name: str) -> DataFrame:
-        return read_partitioned(self.spark, self.path(name))
+    def append(self, name: str, df: DataFrame) -> None:
+        write_append(df, self.path(name))
 
+    def has(self, name: str) -> bool:
+        return path_exists(self.spark, self.path(name))
 
-def refresh(wh: Warehouse, raw_orders: DataFrame, purchase_order: DataFrame,
-            only: Callable[[str], bool] = lambda name: True,
-            cohort_start: str | None = None, cohort_end: str | None = None) -> dict[str, float]:
-    """Rebuild every derived table from the two loaded base tables.
+    def read(self, name: str, tenants: list[str] | None = None) -> DataFrame:
+        df = read_partitioned(self.spark, self.path(name))
+        return df if tenants is None else df.where(F.col(TENANT).isin(list(tenants)))
 
-    ``cohort_start`` and ``cohort_end`` are the scan bounds of the scheduled
-    cohort job (H1).
-    """
-    sales = wh.write("sales", lambda: clean_sales(raw_orders))
-    summary = wh.write("sales_summary", lambda: sales_summary(sales))
+    def maxima(self, name: str, *columns: str) -> dict[str, dict]:
+        """Per-tenant maxima of columns, from file footers (none: no table yet)."""
+        return footer_maxima(self.spark, self.path(name), columns) if self.has(name) else {}
+
+    def last_days(self, name: str = "sales", column: str = "just_date") -> DataFrame:
+        """``(company_id, last_day)`` without a scan of the rows."""
+        rows = [(t, m[column]) for t, m in self.maxima(name, column).items()]
+        return self.spark.createDataFrame(rows, f"{TENANT} string, last_day date")
+
+
+def refresh_sales(wh: Warehouse, raw_orders: DataFrame, only: Callable[[str], bool] = lambda name: True,
+                  cohort_start: str | None = None, cohort_end: str | None = None,
+                  tenants: list[str] | None = None) -> None:
+    """Every table derived from ``raw_orders``."""
+    def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return wh.write(name, build, tenants=tenants)
+
+    sales = write("sales", lambda: clean_sales(raw_orders))
+    last = wh.last_days()
+    summary = write("sales_summary", lambda: sales_summary(sales, last))
     if only("rfm"):
-        rfm = wh.write("rfm", lambda: R.rfm_table(sales, summary))
-        wh.write("rfm_one", lambda: R.rfm_table(sales, summary, trailing_days=365))
-        wh.write("summ_rfm", lambda: R.summary_with_segments(rfm, summary))
+        rfm = write("rfm", lambda: R.rfm_table(sales, summary))
+        write("rfm_one", lambda: R.rfm_table(sales, summary, trailing_days=365, last_day=last))
+        write("summ_rfm", lambda: R.summary_with_segments(rfm, summary))
     if only("cohort"):
         for months, tag in ((H.HALF_MONTHS, "half"), (H.YEAR_MONTHS, "year")):
-            counts = wh.write(f"cohort_{tag}", lambda m=months: H.cohort_counts(
+            counts = write(f"cohort_{tag}", lambda m=months: H.cohort_counts(
                 H.cohort_data(sales, m, cohort_start, cohort_end), m))
-            wh.write(f"retention_{tag}", lambda m=months, c=counts: H.retention(c, m))
+            write(f"retention_{tag}", lambda m=months, c=counts: H.retention(c, m))
     if only("forecast"):
-        wh.write("sales_forecasting", lambda: FC.forecast(FC.forecast_features(
+        write("sales_forecasting", lambda: FC.forecast(FC.forecast_features(
             FS.future_frame(FS.daily_sales(sales)))))
-        wh.write("churn_forecasting", lambda: FC.forecast(FC.forecast_features(
+        write("churn_forecasting", lambda: FC.forecast(FC.forecast_features(
             FS.future_frame(FS.densify(FS.daily_churn(summary))))))
-        wh.write("order_forecasting", lambda: FC.forecast(FC.forecast_features(
+        write("order_forecasting", lambda: FC.forecast(FC.forecast_features(
             FS.future_frame(FS.densify(FS.daily_orders(summary))))))
     if only("gap_churn"):
-        wh.write("gap_churn", lambda: gap_churn(sales))
+        write("gap_churn", lambda: gap_churn(sales, last))
+
+
+def refresh_vendors(wh: Warehouse, purchase_order: DataFrame, only: Callable[[str], bool] = lambda name: True,
+                    tenants: list[str] | None = None) -> None:
+    """Every table derived from ``purchase_order``."""
     if only("vendor"):
         vsa = wh.write("vendor_spend_analysis", lambda: V.vendor_spend_analysis(purchase_order),
-                       sort_within=["date_created"])
-        wh.write("vendor_deals", lambda: V.vendor_deals(vsa, sort=False))
+                       sort_within=["date_created"], tenants=tenants)
+        wh.write("vendor_deals", lambda: V.vendor_deals(vsa, sort=False), tenants=tenants)
+
+
+def refresh(wh: Warehouse, raw_orders: DataFrame, purchase_order: DataFrame,
+            only: Callable[[str], bool] = lambda name: True,
+            cohort_start: str | None = None, cohort_end: str | None = None) -> dict[str, float]:
+    """Rebuild every derived table from the two loaded base tables.
+
+    ``cohort_start`` and ``cohort_end`` are the scan bounds of the scheduled
+    cohort job (H1).
+    """
+    refresh_sales(wh, raw_orders, only, cohort_start, cohort_end)
+    refresh_vendors(wh, purchase_order, only)
     return wh.timings

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,54 @@ def write_overwrite(df: DataFrame, path: str, sort_within: list[str] | None = No
      .partitionBy(TENANT).parquet(path))
 
 
+def _file_system(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def tenant_folder(spark, tenant: str) -> str:
+    """Name of a tenant's partition folder, as Spark writes it."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(TENANT, tenant)
+
+
+def tenant_files(spark, path: str) -> dict[str, list[str]]:
+    """Data files (name and time of writing) of each partition folder of a table."""
+    jvm, fs = spark.sparkContext._jvm, _file_system(spark, path)
+    out: dict[str, list[str]] = {}
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    for folder in fs.listStatus(root) if fs.exists(root) else []:
+        if folder.isDirectory() and folder.getPath().getName().startswith(TENANT + "="):
+            out[folder.getPath().getName()] = sorted(
+                f"{f.getPath().getName()} {f.getModificationTime()}" for f in fs.listStatus(folder.getPath())
+                if f.getPath().getName().endswith(".parquet"))
+    return out
+
+
+def write_tenants(df: DataFrame, path: str, tenants: list[str], sort_within: list[str] | None = None) -> None:
+    """S5 for some tenants: their folders are replaced by what ``df`` holds of
+    them (gone if it holds nothing); the files of all others stay untouched.
+
+    Rows are written beside the table first; folders are then exchanged by
+    renaming, so a failed job leaves the table as it was.
+    """
+    spark = df.sparkSession
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    beside = f"{path}__new_{uuid.uuid4().hex}"
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
+    df.where(F.col(TENANT).isin(list(tenants))).write.partitionBy(TENANT).parquet(beside)
+    fs = _file_system(spark, path)
+    fs.mkdirs(Path(path))
+    for t in tenants:
+        folder = tenant_folder(spark, t)
+        old, new = Path(f"{path}/{folder}"), Path(f"{beside}/{folder}")
+        if fs.exists(old):
+            fs.delete(old, True)
+        if fs.exists(new):
+            fs.rename(new, old)
+    fs.delete(Path(beside), True)
+
+
 def write_append(df: DataFrame, path: str) -> None:
     """S6 write side: append new rows to the tenant partitions."""
     df.write.mode("append").partitionBy(TENANT).parquet(path)

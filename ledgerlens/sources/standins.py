@@ -8,6 +8,8 @@ multi-tenant ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +98,18 @@ def erp_purchase_tables(spark: SparkSession, sf_dir: str, multi_tenant: bool = F
     return po_line, po_hdr, vendor
 
 
+def land(spark: SparkSession, sf_dir: str, root: str, part: Callable[[DataFrame, str], DataFrame]) -> None:
+    """A day's delivery of the ERP tables: appended under ``root``, partitioned by
+    tenant; ``part(rows, key)`` chooses the rows of tables that carry a key."""
+    for tables, names, key in ((erp_order_tables(spark, sf_dir, True), ("oe_line", "oe_hdr", "inv_mast"), "order_no"),
+                               (erp_purchase_tables(spark, sf_dir, True), ("po_line", "po_hdr", "vendor"), "po_no")):
+        line, header, lookup = tables
+        chosen = part(header, key)
+        chosen.write.mode("append").partitionBy(TENANT).parquet(f"{root}/{names[1]}")
+        line.join(chosen.select(TENANT, key), key).write.mode("append").partitionBy(TENANT).parquet(f"{root}/{names[0]}")
+        lookup.write.mode("overwrite").parquet(f"{root}/{names[2]}.parquet")
+
+
 # Order of the surrogate key: the business key, then every other column.
 ORDER_INDEX_ORDER = [*ORDER_EXTRACT_COLUMNS, "price"]
 PURCHASE_INDEX_ORDER = [*PURCHASE_EXTRACT_COLUMNS, "price", "year"]

@@ -1,8 +1,18 @@
-"""Readers (S3, S4): parquet tables by name, or a JDBC query source."""
+"""Readers (S3, S4): parquet tables by name, or a JDBC query source; per-tenant
+maxima from file footers and reads above per-tenant watermarks."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import TENANT, per_tenant
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +29,76 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     Folder names carry no type, so ids that look like numbers or dates would
     be read as such; inference is off while the table's schema is resolved.
     """
-    before = spark.conf.get(_INFER)
-    spark.conf.set(_INFER, "false")
-    try:
+    with _settings(spark, {_INFER: "false"}):
         return spark.read.parquet(path)
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
     finally:
-        spark.conf.set(_INFER, before)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+#: Tenants are read in at most this many groups of similar watermarks, so a plan
+#: stays small however many tenants there are.
+WATERMARK_GROUPS = 32
+
+
+def footer_maxima(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[str, dict]:
+    """I8: ``{company_id: {column: max}}`` of a table partitioned by tenant.
+
+    Maxima come from the statistics in the Parquet footers: the aggregate is
+    pushed into the scan, so no column data is read, and one row a tenant comes
+    back. A file without statistics (a column that is all null) makes Spark
+    refuse that; the columns themselves are then read.
+    """
+    def run(pushed: bool) -> list:
+        with _settings(spark, {_INFER: "false", "spark.sql.parquet.aggregatePushdown": str(pushed).lower(),
+                               "spark.sql.sources.useV1SourceList": "" if pushed else "parquet"}):
+            df = spark.read.parquet(path)
+            return df.groupBy(TENANT).agg(*(F.max(c).alias(c) for c in columns)).collect()
+
+    try:
+        rows = run(True)
+    except (Py4JJavaError, PySparkException) as e:
+        if "No min/max found" not in str(e):
+            raise
+        rows = run(False)
+    return {r[TENANT]: {c: r[c] for c in columns} for r in rows}
+
+
+def read_above(spark: SparkSession, path: str, key: str, marks: Mapping[str, int | None]) -> DataFrame:
+    """Rows of the tenants in ``marks`` whose ``key`` is above the tenant's
+    mark (no mark: all its rows).
+
+    Tenants are sorted by mark and cut into at most ``WATERMARK_GROUPS`` groups. A
+    group is one scan whose partition filter names its tenants and whose pushed
+    filter is the group's lowest mark as a literal, so row groups of old keys are
+    skipped by their statistics and other tenants' files are not opened; every file
+    is read once. Where a group holds several marks each row is then held against
+    its own tenant's.
+    """
+    table = read_partitioned(spark, path)
+    parts = []
+    unmarked = sorted(t for t, m in marks.items() if m is None)
+    if unmarked:
+        parts.append(table.where(F.col(TENANT).isin(unmarked)))
+    order = sorted((m, t) for t, m in marks.items() if m is not None)
+    size = max(1, -(-len(order) // WATERMARK_GROUPS))
+    for k in range(0, len(order), size):
+        group = order[k:k + size]
+        rows = table.where(F.col(TENANT).isin([t for _, t in group]) & (F.col(key) > F.lit(group[0][0])))
+        if group[-1][0] > group[0][0]:
+            own = spark.createDataFrame([(t, m) for m, t in group], f"{TENANT} string, _ll_mark bigint")
+            rows = rows.join(per_tenant(own), TENANT).where(F.col(key) > F.col("_ll_mark")).drop("_ll_mark")
+        parts.append(rows.select(*table.columns))
+    return reduce(DataFrame.unionByName, parts) if parts else table.where(F.lit(False))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
