@@ -40,6 +40,7 @@ COHORT_RUN_DAY = "2001-08-01"   # H1: scan [run day - 400 d, run day]
 COHORT_SCAN_DAYS = 400
 TRAILING_DAYS = 365             # R2
 Z_DIGITS = 8                    # published z-scores
+FORECAST_DIGITS = 6             # published forecasts
 
 
 # -- shared inputs -------------------------------------------------------------
@@ -50,9 +51,19 @@ def _sales(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
     return materialize(clean_sales(S.raw_orders(spark, sf, multi_tenant=multi)))
 
 
+def _dated_sales(spark: SparkSession, sf: str, multi: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``sales`` written by tenant, as the refresh does, and each tenant's last day
+    from its footers."""
+    from .refresh import Warehouse
+    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}")
+    return wh.write("sales", lambda: clean_sales(S.raw_orders(spark, sf, multi_tenant=multi))), wh.last_days()
+
+
 def _summary(spark: SparkSession, sf: str, sales: DataFrame | None = None,
-             multi: bool = False) -> DataFrame:
-    return materialize(sales_summary(sales if sales is not None else _sales(spark, sf, multi)))
+             multi: bool = False, last: DataFrame | None = None) -> DataFrame:
+    if sales is None:
+        sales, last = _dated_sales(spark, sf, multi)
+    return materialize(sales_summary(sales, last))
 
 
 def _po(spark: SparkSession, sf: str, multi: bool = False) -> DataFrame:
@@ -246,8 +257,8 @@ def q_tenant_sales_summary(spark, sf):
 
 
 def q_tenant_rfm_segments(spark, sf):
-    sales = _sales(spark, sf, multi=True)
-    return publish(R.rfm_table(sales, _summary(spark, sf, sales), clusters=False))
+    sales, last = _dated_sales(spark, sf, multi=True)
+    return publish(R.rfm_table(sales, _summary(spark, sf, sales, last=last), clusters=False))
 
 
 def q_tenant_cohort_year(spark, sf):
@@ -260,9 +271,9 @@ def q_tenant_vendor_deals(spark, sf):
 
 
 def q_tenant_order_forecast(spark, sf):
-    """F9 for every tenant in one grouped job (rows-only)."""
+    """F9 for every tenant in one job."""
     daily = FS.densify(FS.daily_orders(_summary(spark, sf, multi=True)))
-    return FC.forecast(FC.forecast_features(FS.future_frame(daily)))
+    return _published_forecast(FC.forecast_features(FS.future_frame(daily)))
 
 
 def _events_calendar(spark, sf):
@@ -310,7 +321,7 @@ def q_repeat_customers(spark, sf):
 
 def q_gap_churn(spark, sf):
     """G1-G4."""
-    return publish(gap_churn(_sales(spark, sf)))
+    return publish(gap_churn(*_dated_sales(spark, sf)))
 
 
 # -- RFM ----------------------------------------------------------------------------
@@ -338,8 +349,9 @@ def q_rfm_segments(spark, sf):
 
 def q_rfm_one(spark, sf):
     """R2 + R1-R16 on the trailing 365 days."""
-    sales = _sales(spark, sf)
-    return publish(R.rfm_table(sales, _summary(spark, sf, sales), TRAILING_DAYS, clusters=False))
+    sales, last = _dated_sales(spark, sf)
+    summary = _summary(spark, sf, sales, last=last)
+    return publish(R.rfm_table(sales, summary, TRAILING_DAYS, clusters=False, last_day=last))
 
 
 def q_rfm_clusters(spark, sf):
@@ -453,20 +465,33 @@ def q_forecast_features(spark, sf):
     return publish(_order_features(spark, sf))
 
 
+def _published_forecast(features: DataFrame) -> DataFrame:
+    out = FC.forecast(features)
+    return publish(out.select(TENANT, "ds", *(half_even(c, FORECAST_DIGITS).alias(c) for c in FC.OUTPUT[2:])))
+
+
+def q_forecast_gram(spark, sf):
+    """sums of the normal equations of the order forecast, entry by entry."""
+    gram = FC.normal_equations(_order_features(spark, sf))
+    rows = gram.select(TENANT, F.posexplode("gram").alias("i", "row"))
+    return rows.select(TENANT, F.col("i").cast("bigint").alias("i"), F.posexplode("row").alias("j", "total")).withColumn(
+        "j", F.col("j").cast("bigint"))
+
+
 def q_sales_forecast(spark, sf):
-    """F7 (rows-only)."""
-    return FC.forecast(FC.forecast_features(FS.future_frame(FS.daily_sales(_sales(spark, sf)))))
+    """F7."""
+    return _published_forecast(FC.forecast_features(FS.future_frame(FS.daily_sales(_sales(spark, sf)))))
 
 
 def q_churn_forecast(spark, sf):
-    """F8 (rows-only)."""
+    """F8."""
     daily = FS.densify(FS.daily_churn(_summary(spark, sf)))
-    return FC.forecast(FC.forecast_features(FS.future_frame(daily)))
+    return _published_forecast(FC.forecast_features(FS.future_frame(daily)))
 
 
 def q_order_forecast(spark, sf):
-    """F9 (rows-only)."""
-    return FC.forecast(_order_features(spark, sf))
+    """F9."""
+    return _published_forecast(_order_features(spark, sf))
 
 
 # -- vendors ----------------------------------------------------------------------------

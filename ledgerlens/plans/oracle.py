@@ -473,6 +473,50 @@ ff_t AS (
 features AS (SELECT company_id, ds, y, t, {hinges}, {", ".join(trig)} FROM ff_t)"""
 
 
+def forecast_sql() -> str:
+    """Ridge fit of ``features``: exact sums, elimination step by step, residual deviation."""
+    from ..operators import forecast as FC
+    n, unit = len(FC.PENALTY), float(FC.UNIT)
+    xs = ", ".join(["CAST(1000000 AS BIGINT)", *(f"CAST(round_even({f} * {unit!r}, 0) AS BIGINT)" for f in FC.FEATURES)])
+    sums = ", ".join(f"sum(x[i] * x[{j + 1}])" for j in range(n)) + ", sum(x[i] * z)"
+    pen = "[" + ", ".join(repr(float(p)) for p in FC.PENALTY) + "]"
+
+    def part(a, b):
+        fold = f"list_reduce(list_prepend(0.0::DOUBLE, list_transform(range({a + 1}, {b + 1}), lambda k: coef[k] * x[k])), lambda p, q: p + q)"
+        return f"{fold} / {unit!r} * scale"
+
+    t, w = 2 + len(FC.HINGES), 2 + len(FC.HINGES) + len(FC.WEEKLY)
+    return f"""
+fc_s AS (SELECT company_id, CASE WHEN max(abs(y)) > 0 THEN max(abs(y)) ELSE 1.0 END AS scale
+         FROM features WHERE y IS NOT NULL GROUP BY company_id),
+fc_x AS MATERIALIZED (SELECT company_id, ds, y, scale, [{xs}] AS x, CAST(round_even(y / scale * {unit!r}, 0) AS BIGINT) AS z
+         FROM features JOIN fc_s USING (company_id)),
+fc_g AS MATERIALIZED (
+  SELECT company_id, list(r ORDER BY i) AS m FROM (
+    SELECT company_id, i, [{sums}] AS r FROM fc_x, range(1, {n + 1}) AS i(i) WHERE y IS NOT NULL GROUP BY company_id, i)
+  GROUP BY company_id),
+fc_e(company_id, k, m) AS (
+  SELECT company_id, 1, list_transform(m, lambda r, i: list_transform(r, lambda v, j:
+    CAST(v AS DOUBLE) + CASE WHEN i = j THEN ({pen})[i] * {unit * unit!r} ELSE 0.0 END)) FROM fc_g
+  UNION ALL
+  SELECT company_id, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN
+      list_transform(r, lambda v, j: CASE WHEN m[k][k] > 0 THEN v / m[k][k] ELSE 0.0 END)
+    ELSE list_transform(r, lambda v, j: v - r[k] * CASE WHEN m[k][k] > 0 THEN m[k][j] / m[k][k] ELSE 0.0 END) END)
+  FROM fc_e WHERE k <= {n}),
+fc_c AS MATERIALIZED (SELECT company_id, list_transform(m, lambda r: r[{n + 1}]) AS coef FROM fc_e WHERE k = {n + 1}),
+fc_p AS MATERIALIZED (SELECT company_id, ds, y, scale, {part(0, t)} AS trend, {part(t, w)} AS weekly, {part(w, n)} AS yearly
+         FROM fc_x JOIN fc_c USING (company_id)),
+fc_h AS MATERIALIZED (SELECT *, weekly + yearly AS additive_terms, trend + (weekly + yearly) AS yhat FROM fc_p),
+fc_r AS (SELECT company_id, count(*)::HUGEINT AS n, sum(e) AS s, sum(e * e) AS q FROM (
+           SELECT company_id, CAST(round_even((y - yhat) / scale * {unit!r}, 0) AS HUGEINT) AS e FROM fc_h WHERE y IS NOT NULL)
+         GROUP BY company_id),
+fc_d AS (SELECT company_id, CASE WHEN n > 1 THEN sqrt(CAST(n * q - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) / {unit!r}
+                            ELSE 0.0 END AS sd FROM fc_r),
+forecast AS (SELECT company_id, ds, y, trend, weekly, yearly, additive_terms, yhat,
+                    yhat - {FC.Z80!r} * sd * scale AS yhat_lower, yhat + {FC.Z80!r} * sd * scale AS yhat_upper
+             FROM fc_h JOIN fc_d USING (company_id))"""
+
+
 # -- vendors ------------------------------------------------------------------------------
 VENDOR = f"""
 v_items AS (
@@ -616,7 +660,8 @@ def day_sql(src: str, key: str, step: str) -> str:
 
 
 def build() -> dict[str, str]:
-    from .catalog import COHORT_RUN_DAY, COHORT_SCAN_DAYS, HISTORY_CUTOFF, TRAILING_DAYS, Z_DIGITS
+    from ..operators.forecast import PENALTY
+    from .catalog import COHORT_RUN_DAY, COHORT_SCAN_DAYS, FORECAST_DIGITS, HISTORY_CUTOFF, TRAILING_DAYS, Z_DIGITS
     import datetime as dt
 
     O, P, SL = order_tables(), purchase_tables(), sales_from()
@@ -750,6 +795,18 @@ def build() -> dict[str, str]:
     q["forecast_features"] = (with_(*SS, DO, densify_sql("daily_orders", "dense"),
                                     future_sql("dense", "fut"), features_sql("fut"))
                               + f" SELECT * REPLACE ({D('ds')}) FROM features")
+    digits = ", ".join(f"round_even({c}, {FORECAST_DIGITS}) AS {c}" for c in (
+        "y", "trend", "weekly", "yearly", "additive_terms", "yhat", "yhat_lower", "yhat_upper"))
+    churn = [*SS, DAILY_CHURN, densify_sql("daily_churn", "dense"), future_sql("dense", "fut")]
+    orders = [DO, densify_sql("daily_orders", "dense"), future_sql("dense", "fut")]
+    for name, ctes in (("sales_forecast", [O, SL, DS, future_sql("daily_sales", "fut")]), ("churn_forecast", churn),
+                       ("order_forecast", [*SS, *orders]), ("tenant_order_forecast", [OM, SL, SUMMARY, *orders])):
+        body = with_(*ctes, features_sql("fut"), forecast_sql()).replace("WITH ", "WITH RECURSIVE ", 1)
+        q[name] = body + f" SELECT company_id, {D('ds')}, {digits} FROM forecast"
+    gram = forecast_sql().split(",\nfc_e(")[0]
+    q["forecast_gram"] = (with_(*SS, *orders, features_sql("fut"), gram)
+                          + " SELECT company_id, i - 1 AS i, j - 1 AS j, CAST(m[i][j] AS BIGINT) AS total"
+                            f" FROM fc_g, range(1, {len(PENALTY) + 1}) AS a(i), range(1, {len(PENALTY) + 2}) AS b(j)")
     # vendors
     VV = [P, VENDOR]
     q["vendor_item_spend"] = with_(*VV) + """ SELECT company_id, item_description,
