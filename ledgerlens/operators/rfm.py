@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import order_count_label, quadrant_of, reverse_score, segment_of
 from ..functions.rounding import half_even, money_sum
 from ..session import TENANT, materialize, per_tenant
-from .ordering import global_row_number
+from .selection import rows_at_ranks
 
 LOGS = ["recency_log", "frequency_log", "monetary_log"]
 SCALED = ["recency_z", "frequency_z", "monetary_z"]
@@ -70,16 +70,23 @@ def rfm_scaled(base: DataFrame) -> DataFrame:
     return out.drop(*[f"_ll_mu_{c}" for c in LOGS], *[f"_ll_sd_{c}" for c in LOGS])
 
 
-def _rank_bin(rank: str, n: str) -> F.Column:
-    """pandas ``qcut(rank, 4)`` code + 1, in exact integer arithmetic.
+def _edges(base: DataFrame, sizes: DataFrame, value: str) -> DataFrame:
+    """``(company_id, edges)``: the last (value, email) of the first three rank quarters.
 
-    Edges of ranks 1..n are ``1 + k(n-1)/4``; a rank lies above edge k when
-    ``4(r-1) > k(n-1)``. (``ntile(4)`` is a different rule.)
+    pandas ``qcut`` on ranks 1..n has its edges at ``1 + k(n-1)/4``; the last rank not
+    above edge k is ``1 + floor(k(n-1)/4)``. (``ntile(4)`` is a different rule.)
     """
-    r4 = (F.col(rank) - 1) * 4
-    m = F.col(n) - 1
-    return (F.lit(1) + (r4 > m).cast("int") + (r4 > m * 2).cast("int")
-            + (r4 > m * 3).cast("int"))
+    wanted = sizes.select(TENANT, "_ll_n", F.explode(F.lit([1, 2, 3])).alias("_ll_k")).select(
+        TENANT, "_ll_k", F.expr("1 + _ll_k * (_ll_n - 1) div 4").alias("_ll_rank"))
+    found = rows_at_ranks(base, value, "email", wanted)
+    return found.groupBy(TENANT).agg(F.array_sort(F.collect_list(F.struct("_ll_k", value, "email"))).alias("edges"))
+
+
+def _rank_bin(value: str, edges: str) -> F.Column:
+    """Quarter 1-4 of a row's rank by (value, email): edges it lies behind, plus one."""
+    own = F.struct(value, "email")
+    return reduce(lambda n, k: n + (own > F.struct(F.col(edges)[k][value], F.col(edges)[k]["email"])).cast("int"),
+                  range(3), F.lit(1))
 
 
 def rfm_scores(base: DataFrame) -> DataFrame:
@@ -90,23 +97,24 @@ def rfm_scores(base: DataFrame) -> DataFrame:
     q = base.groupBy(TENANT).agg(
         F.percentile("recency", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_ll_q"),
         F.count(F.lit(1)).alias("_ll_n"))
-    df = base.join(per_tenant(q), TENANT)
-    df = global_row_number(df, ["frequency", "email"], [TENANT], "_ll_rf")
-    df = global_row_number(df, ["monetary", "email"], [TENANT], "_ll_rm")
+    sizes = materialize(q)
+    for value in ("frequency", "monetary"):  # the edges are three rows a tenant
+        sizes = sizes.join(_edges(base, sizes.select(TENANT, "_ll_n"), value).withColumnRenamed("edges", f"_ll_{value}"), TENANT)
+    df = base.join(per_tenant(materialize(sizes)), TENANT)
     rec = F.col("recency")
     r_bin = (F.when(rec <= F.col("_ll_q")[0], 1).when(rec <= F.col("_ll_q")[1], 2)
              .when(rec <= F.col("_ll_q")[2], 3).otherwise(4))
     df = df.withColumns({
         "r": r_bin.cast("int"),                           # labels [4,3,2,1] then reversed
-        "f": reverse_score(_rank_bin("_ll_rf", "_ll_n")),
-        "m": reverse_score(_rank_bin("_ll_rm", "_ll_n")),
+        "f": reverse_score(_rank_bin("frequency", "_ll_frequency")),
+        "m": reverse_score(_rank_bin("monetary", "_ll_monetary")),
     })
     df = df.withColumns({
         "rfm": F.concat(F.col("r").cast("string"), F.col("f").cast("string"),
                         F.col("m").cast("string")),
         "s_rfm": F.col("r") + F.col("f") + F.col("m"),
     }).withColumn("rfm_int", F.col("rfm").cast("int"))
-    return df.drop("_ll_q", "_ll_n", "_ll_rf", "_ll_rm")
+    return df.drop("_ll_q", "_ll_n", "_ll_frequency", "_ll_monetary")
 
 
 def customer_span(summary: DataFrame) -> DataFrame:
@@ -133,71 +141,73 @@ RFM_COLUMNS = [TENANT, "email", "recency", "frequency", "monetary", "frequency_l
                "cust_segment", "quad_segment", "f_label", "avg_order_value", "min_c", "max_c"]
 
 
-KMEANS_ROUNDS = 20        # the one limit on k-means rounds, at every tenant size
+KMEANS_ROUNDS = 300       # the one limit on k-means rounds, at every tenant size
 KMEANS_UNIT = 1e8         # z-scores enter k-means as whole hundred-millionths
 # start centres (recency, frequency, monetary) in z units, from the most to
 # the least active customers
 KMEANS_START = [(-1.2, 1.2, 1.2), (-0.4, 0.4, 0.4), (0.4, -0.4, -0.4), (1.2, -1.2, -1.2)]
 
 _Q = ["_ll_q0", "_ll_q1", "_ll_q2"]
+_K = len(KMEANS_START)
 
 
-def _centre(j: int, f: int) -> str:
-    return f"_ll_c{j}{f}"
-
+def _nearest(centres: dict[int, list[float]]) -> F.Column:
+    """Number of the nearest centre (the lowest of equally near ones).
 
-def _nearest() -> F.Column:
-    """Number of the nearest centre (the lowest of equally near ones)."""
-    k = len(KMEANS_START)
+    The centres of all tenants are one literal array, looked up by the tenant's
+    number: rounds differ in a constant only, not in plan or generated code.
+    """
+    flat = [0.0] * (3 * _K * (max(centres, default=0) + 1))
+    for t, c in centres.items():
+        flat[3 * _K * t:3 * _K * (t + 1)] = c
+    held = "array(" + ", ".join(f"{x!r}D" for x in flat) + ")"
 
-    def dist(j: int) -> F.Column:
-        d = [F.col(q) - F.col(_centre(j, f)) for f, q in enumerate(_Q)]
-        return d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
+    def dist(j: int) -> str:
+        gaps = (f"({q} - get({held}, _ll_t * {3 * _K} + {3 * j + f}))" for f, q in enumerate(_Q))
+        return " + ".join(f"{g} * {g}" for g in gaps)
 
-    out = F.lit(k - 1)
-    for j in reversed(range(k - 1)):
-        first = reduce(lambda x, y: x & y, [dist(j) <= dist(o) for o in range(j + 1, k)])
-        out = F.when(first, j).otherwise(out)
-    return out
+    # the smallest (distance, number) pair
+    return F.expr("least(" + ", ".join(f"struct({dist(j)} AS d, {j} AS k)" for j in range(_K)) + ").k")
 
 
 def rfm_clusters(scaled: DataFrame, rounds: int = KMEANS_ROUNDS) -> DataFrame:
     """K-means (k=4) on the standardised logs, for all tenants at once.
 
-    Lloyd's algorithm from fixed start centres. A round is one aggregation:
-    every customer is assigned by an expression against its tenant's four
-    broadcast centres, and their sums (exact, over whole numbers) and counts are
-    combined map-side into one row per tenant. Those rows (twelve numbers each)
-    are all the driver sees. An empty cluster keeps its centre. It stops when no
-    centre moves, or after ``rounds``; ``cluster_converged`` says which.
+    Lloyd's algorithm from fixed start centres, until no centre of the tenant moves
+    or for ``rounds``; ``cluster_converged`` says which. A round is one aggregation:
+    every customer is assigned by an expression against its tenant's four centres, and
+    the sums (exact, over whole numbers) and counts are combined map-side into one row
+    per tenant and cluster. Those rows are all the driver sees. Points are written by
+    tenant, so a tenant that is finished is not read any more. An empty cluster keeps
+    its centre.
     """
     spark = scaled.sparkSession
-    points = materialize(scaled.withColumns({
-        q: F.floor(F.col(z) * KMEANS_UNIT + 0.5).cast("double") for q, z in zip(_Q, SCALED)}))
-    names = [_centre(j, f) for j in range(len(KMEANS_START)) for f in range(3)]
+    tenants = sorted((r[0] for r in scaled.select(TENANT).distinct().collect()), key=lambda t: (t is not None, t))
+    if not tenants:
+        return scaled.withColumns({"cluster": F.lit(None).cast("int"), "cluster_converged": F.lit(True)})
+    number = {t: k for k, t in enumerate(tenants)}
+    kind = dict(scaled.dtypes)[TENANT]
+    numbers = spark.createDataFrame(list(number.items()), f"_ll_own {kind}, _ll_t int")
+    named = scaled.join(per_tenant(numbers), F.col(TENANT).eqNullSafe(F.col("_ll_own"))).drop("_ll_own")
+    points = materialize(named.withColumns({
+        q: F.floor(F.col(z) * KMEANS_UNIT + 0.5).cast("double") for q, z in zip(_Q, SCALED)}), by="_ll_t")
     start = [x * KMEANS_UNIT for c in KMEANS_START for x in c]
-    centres = {r[0]: start for r in points.select(TENANT).distinct().collect()}
-    schema = f"{TENANT} {dict(points.dtypes)[TENANT]}, " + ", ".join(f"{n} double" for n in names)
-
-    def frame() -> DataFrame:
-        return per_tenant(spark.createDataFrame([(t, *c) for t, c in centres.items()], schema))
-
-    converged = False
+    centres = {t: list(start) for t in number.values()}
+    active = set(centres)
     for _ in range(rounds):
-        assigned = points.join(frame(), TENANT).withColumn("_ll_k", _nearest())
-        sums = [F.sum(F.when(F.col("_ll_k") == j, F.col(q).cast("bigint"))).alias(f"s{j}{f}")
-                for j in range(len(KMEANS_START)) for f, q in enumerate(_Q)]
-        counts = [F.count_if(F.col("_ll_k") == j).alias(f"n{j}") for j in range(len(KMEANS_START))]
-        new = {}
-        for r in assigned.groupBy(TENANT).agg(*sums, *counts).collect():
-            new[r[TENANT]] = [float(r[f"s{j}{f}"]) / r[f"n{j}"] if r[f"n{j}"] else centres[r[TENANT]][3 * j + f]
-                              for j in range(len(KMEANS_START)) for f in range(3)]
-        converged = new == centres
-        centres = new
-        if converged:
+        if not active:
             break
-    return (points.join(frame(), TENANT).withColumn("cluster", _nearest().cast("int"))
-            .withColumn("cluster_converged", F.lit(converged)).drop(*_Q, *names))
+        rows = points.where(F.col("_ll_t").isin(sorted(active))).select("_ll_t", *_Q)
+        sums = rows.groupBy("_ll_t", _nearest(centres).alias("k")).agg(
+            F.count(F.lit(1)).alias("n"), *(F.sum(F.col(q).cast("bigint")).alias(q) for q in _Q))
+        new = {t: list(centres[t]) for t in active}
+        for r in sums.collect():
+            new[r["_ll_t"]][3 * r["k"]:3 * r["k"] + 3] = [float(r[q]) / r["n"] for q in _Q]
+        active = {t for t in active if new[t] != centres[t]}
+        centres |= new
+    return (points.withColumn("cluster", _nearest(centres).cast("int"))
+            .withColumn("cluster_converged", ~F.col("_ll_t").isin(sorted(active)) if active else F.lit(True))
+            .drop(*_Q, "_ll_t"))
 
 
 def rfm_table(sales: DataFrame, summary: DataFrame, trailing_days: int | None = None,
@@ -206,8 +216,8 @@ def rfm_table(sales: DataFrame, summary: DataFrame, trailing_days: int | None =
     base = rfm_base(sales, trailing_days, last_day)
     cols = list(RFM_COLUMNS)
     if clusters:
-        base = rfm_clusters(rfm_scaled(base)).drop(*SCALED, "cluster_converged")
-        cols.insert(8, "cluster")
+        base = rfm_clusters(rfm_scaled(base)).drop(*SCALED)
+        cols[8:8] = ["cluster", "cluster_converged"]
     return rfm_segments(rfm_scores(base), summary).select(*cols)
 
 

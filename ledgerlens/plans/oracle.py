@@ -265,7 +265,7 @@ rfm_scaled AS (
 
 
 def clusters_sql() -> str:
-    """Lloyd's algorithm, 20 rounds written out; whole hundred-millionths of z."""
+    """Lloyd's algorithm per tenant until no centre moves, 300 rounds at most."""
     start = [(-1.2, 1.2, 1.2), (-0.4, 0.4, 0.4), (0.4, -0.4, -0.4), (1.2, -1.2, -1.2)]
 
     def dist(j):
@@ -277,20 +277,24 @@ def clusters_sql() -> str:
     names = [(j, f) for j in range(4) for f in range(3)]
     first = ", ".join(f"CAST({start[j][f]!r} AS DOUBLE) * 1e8 AS c{j}{f}" for j, f in names)
     moved = ", ".join(f"CASE WHEN count(*) FILTER (k = {j}) > 0 THEN CAST(sum(CAST(q{f} AS BIGINT)) FILTER (k = {j}) AS DOUBLE)"
-                      f" / count(*) FILTER (k = {j}) ELSE max(c{j}{f}) END AS c{j}{f}" for j, f in names)
+                      f" / count(*) FILTER (k = {j}) ELSE max(c{j}{f}) END AS n{j}{f}" for j, f in names)
     q = ", ".join(f"CAST(floor({z} * 1e8 + 0.5) AS DOUBLE) AS q{f}"
                   for f, z in enumerate(("recency_z", "frequency_z", "monetary_z")))
-    ctes = [f"km_p AS MATERIALIZED (SELECT company_id, email, {q} FROM rfm_scaled)",
-            f"km_0 AS MATERIALIZED (SELECT DISTINCT company_id, {first} FROM km_p)"]
-    for i in range(20):
-        ctes.append(f"""km_{i + 1} AS MATERIALIZED (SELECT company_id, {moved} FROM (
-  SELECT *, {pick} AS k FROM (SELECT p.*, c.* EXCLUDE (company_id), {near} FROM km_p p JOIN km_{i} c USING (company_id)))
-  GROUP BY company_id)""")
-    same = " AND ".join(f"a.c{j}{f} = b.c{j}{f}" for j, f in names)
-    ctes.append(f"km_same AS (SELECT bool_and({same}) AS converged FROM km_19 a JOIN km_20 b USING (company_id))")
-    ctes.append(f"""km AS (SELECT company_id, email, CAST({pick} AS INTEGER) AS cluster FROM (
-  SELECT p.*, {near} FROM km_p p JOIN km_20 c USING (company_id)))""")
-    return ",\n".join(ctes)
+    old = ", ".join(f"max(c{j}{f}) AS c{j}{f}" for j, f in names)
+    same = " AND ".join(f"n{j}{f} = c{j}{f}" for j, f in names)
+    return f"""
+km_p AS MATERIALIZED (SELECT company_id, email, {q} FROM rfm_scaled),
+km_c AS (
+  SELECT DISTINCT company_id, 0 AS round, false AS done, {first} FROM km_p
+  UNION ALL
+  SELECT company_id, round + 1, {same}, {", ".join(f"n{j}{f}" for j, f in names)} FROM (
+    SELECT company_id, max(round) AS round, {old}, {moved} FROM (
+      SELECT *, {pick} AS k FROM (SELECT p.*, c.* EXCLUDE (company_id), {near} FROM km_p p JOIN km_c c USING (company_id)
+                                  WHERE NOT c.done AND c.round < 300))
+    GROUP BY company_id)),
+km_last AS (SELECT * FROM km_c QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY round DESC) = 1),
+km AS (SELECT company_id, email, CAST({pick} AS INTEGER) AS cluster, done AS converged FROM (
+  SELECT p.*, c.* EXCLUDE (company_id), {near} FROM km_p p JOIN km_last c USING (company_id)))"""
 
 
 def _bin(rank: str) -> str:
@@ -745,8 +749,8 @@ def build() -> dict[str, str]:
         round_even(recency_z, {Z_DIGITS}) AS recency_z, round_even(frequency_z, {Z_DIGITS}) AS frequency_z,
         round_even(monetary_z, {Z_DIGITS}) AS monetary_z FROM rfm_scaled"""
     for name, tables in (("rfm_clusters", O), ("tenant_rfm_clusters", OM)):
-        q[name] = (with_(tables, SL, rfm_base_sql(), RFM_SCALED, clusters_sql())
-                   + " SELECT company_id, email, cluster, converged AS cluster_converged FROM km, km_same")
+        q[name] = (with_(tables, SL, rfm_base_sql(), RFM_SCALED, clusters_sql()).replace("WITH ", "WITH RECURSIVE ", 1)
+                   + " SELECT company_id, email, cluster, converged AS cluster_converged FROM km")
     q["rfm_scores"] = with_(*RB, RFM_SCORES) + f" SELECT {', '.join(RFM_SCORE_COLS)} FROM rfm_scores"
     rfm_full = [O, SL, SUMMARY, rfm_base_sql(), RFM_SCORES, segment_case(), RFM_TABLE]
     q["rfm_segments"] = with_(*rfm_full) + f" SELECT {publish_cols(RFM_COLS, {'min_c', 'max_c'})} FROM rfm"
