@@ -7,6 +7,7 @@ first-seen ranks (ties broken by email ascending).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import order_count_label, quadrant_of, reverse_score, segment_of
 from ..functions.rounding import half_even, money_sum
-from ..session import TENANT, materialize, per_tenant
+from ..session import TENANT, materialize, per_tenant, settings
 from .selection import rows_at_ranks
 
 LOGS = ["recency_log", "frequency_log", "monetary_log"]
@@ -77,7 +78,7 @@ def _edges(base: DataFrame, sizes: DataFrame, value: str) -> DataFrame:
     above edge k is ``1 + floor(k(n-1)/4)``. (``ntile(4)`` is a different rule.)
     """
     wanted = sizes.select(TENANT, "_ll_n", F.explode(F.lit([1, 2, 3])).alias("_ll_k")).select(
-        TENANT, "_ll_k", F.expr("1 + _ll_k * (_ll_n - 1) div 4").alias("_ll_rank"))
+        TENANT, "_ll_n", "_ll_k", F.expr("1 + _ll_k * (_ll_n - 1) div 4").alias("_ll_rank"))
     found = rows_at_ranks(base, value, "email", wanted)
     return found.groupBy(TENANT).agg(F.array_sort(F.collect_list(F.struct("_ll_k", value, "email"))).alias("edges"))
 
@@ -142,6 +143,8 @@ RFM_COLUMNS = [TENANT, "email", "recency", "frequency", "monetary", "frequency_l
 
 
 KMEANS_ROUNDS = 300       # the one limit on k-means rounds, at every tenant size
+# a round shuffles four rows per task and tenant: nothing to re-plan
+ROUND_SETTINGS = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "4"}
 KMEANS_UNIT = 1e8         # z-scores enter k-means as whole hundred-millionths
 # start centres (recency, frequency, monetary) in z units, from the most to
 # the least active customers
@@ -151,23 +154,24 @@ _Q = ["_ll_q0", "_ll_q1", "_ll_q2"]
 _K = len(KMEANS_START)
 
 
-def _nearest(centres: dict[int, list[float]]) -> F.Column:
-    """Number of the nearest centre (the lowest of equally near ones).
-
-    The centres of all tenants are one literal array, looked up by the tenant's
-    number: rounds differ in a constant only, not in plan or generated code.
-    """
+def _centres(centres: dict[int, list[float]]) -> str:
+    """The centres of all tenants as one literal array: rounds differ in a constant
+    only, not in plan or generated code."""
     flat = [0.0] * (3 * _K * (max(centres, default=0) + 1))
     for t, c in centres.items():
         flat[3 * _K * t:3 * _K * (t + 1)] = c
-    held = "array(" + ", ".join(f"{x!r}D" for x in flat) + ")"
+    return "array(" + ", ".join(f"{x!r}D" for x in flat) + ")"
 
+
+def _nearest(held: str) -> str:
+    """Number of the nearest of the tenant's centres in ``held`` (the lowest of
+    equally near ones)."""
     def dist(j: int) -> str:
         gaps = (f"({q} - get({held}, _ll_t * {3 * _K} + {3 * j + f}))" for f, q in enumerate(_Q))
         return " + ".join(f"{g} * {g}" for g in gaps)
 
     # the smallest (distance, number) pair
-    return F.expr("least(" + ", ".join(f"struct({dist(j)} AS d, {j} AS k)" for j in range(_K)) + ").k")
+    return "least(" + ", ".join(f"struct({dist(j)} AS d, {j} AS k)" for j in range(_K)) + ").k"
 
 
 def rfm_clusters(scaled: DataFrame, rounds: int = KMEANS_ROUNDS) -> DataFrame:
@@ -194,18 +198,23 @@ def rfm_clusters(scaled: DataFrame, rounds: int = KMEANS_ROUNDS) -> DataFrame:
     start = [x * KMEANS_UNIT for c in KMEANS_START for x in c]
     centres = {t: list(start) for t in number.values()}
     active = set(centres)
+    view = f"_ll_points_{uuid.uuid4().hex}"
+    points.createTempView(view)
+    sums = ", ".join(f"sum(CAST({q} AS bigint)) AS {q}" for q in _Q)
     for _ in range(rounds):
         if not active:
             break
-        rows = points.where(F.col("_ll_t").isin(sorted(active))).select("_ll_t", *_Q)
-        sums = rows.groupBy("_ll_t", _nearest(centres).alias("k")).agg(
-            F.count(F.lit(1)).alias("n"), *(F.sum(F.col(q).cast("bigint")).alias(q) for q in _Q))
         new = {t: list(centres[t]) for t in active}
-        for r in sums.collect():
+        with settings(spark, ROUND_SETTINGS):
+            found = spark.sql(
+                f"SELECT _ll_t, {_nearest('_ll_c')} AS k, count(*) AS n, {sums} FROM (SELECT *, {_centres(centres)} AS _ll_c FROM {view}"
+                f" WHERE _ll_t IN ({', '.join(map(str, sorted(active)))})) GROUP BY 1, 2").collect()
+        for r in found:
             new[r["_ll_t"]][3 * r["k"]:3 * r["k"] + 3] = [float(r[q]) / r["n"] for q in _Q]
         active = {t for t in active if new[t] != centres[t]}
         centres |= new
-    return (points.withColumn("cluster", _nearest(centres).cast("int"))
+    spark.catalog.dropTempView(view)
+    return (points.withColumn("cluster", F.expr(_nearest(_centres(centres))).cast("int"))
             .withColumn("cluster_converged", ~F.col("_ll_t").isin(sorted(active)) if active else F.lit(True))
             .drop(*_Q, "_ll_t"))
 
@@ -227,6 +236,20 @@ def cardinality_violations(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
+def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """R17 inside the plan: ``df``, or an error when a key occurs more than once.
+
+    The count is part of one aggregation on the keys, which a join on them can reuse.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ll_n"), *(F.any_value(c).alias(c) for c in rest))
+    name = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
+    message = F.concat(F.lit("merge keys are not unique: "), name)
+    # the check stands in a column that is kept, so no pruning removes it
+    first = F.when(F.col("_ll_n") > 1, F.raise_error(message).cast(df.schema[keys[-1]].dataType)).otherwise(F.col(keys[-1]))
+    return one.withColumn(keys[-1], first).select(*df.columns)
+
+
 def summary_with_segments(rfm: DataFrame, summary: DataFrame) -> DataFrame:
     """``rfm(email, segments)`` full outer join ``sales_summary`` on email.
 
@@ -235,7 +258,7 @@ def summary_with_segments(rfm: DataFrame, summary: DataFrame) -> DataFrame:
     a summary row. A left join lets AQE split hot emails, which a full outer
     join cannot.
     """
-    seg = rfm.select(TENANT, "email", "cust_segment", "quad_segment")
+    seg = one_row_each(rfm.select(TENANT, "email", "cust_segment", "quad_segment"), [TENANT, "email"])
     left = summary.join(seg, [TENANT, "email"], "left")
     emails = summary.select(TENANT, "email").distinct()
     orphans = seg.join(emails, [TENANT, "email"], "left_anti")

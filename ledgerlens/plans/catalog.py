@@ -22,12 +22,13 @@ from ..operators import rfm as R
 from ..operators import series as FS
 from ..operators import vendor as V
 from ..operators.churn_gap import gap_churn
-from ..operators.sales import SALES_COLUMNS, clean_sales
-from ..operators.summary import SUMMARY_EXTRA, sales_summary
+from ..operators.sales import SALES_COLUMNS, clean_sales, drop_sentinel_dates
+from ..operators.summary import SUMMARY_EXTRA, sales_summary, valid_dates
 from ..session import TENANT, ensure_checkpoint_dir, materialize, per_tenant
 from ..sources import sinks as K
 from ..sources import standins as S
 from ..sources.extract import order_extract, purchase_extract
+from ..sources.tables import read_partitioned
 from .publish import publish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,10 +205,40 @@ def q_ingest_status(spark, sf):
 
 
 def q_append_with_key(spark, sf):
-    """S6 + S7 + S10: a retried (doubled) incremental batch appends once."""
+    """S6 + S7 + S10: a doubled incremental batch, delivered twice, is appended once."""
     src, target = _order_snapshot(spark, sf)
-    delta = I.incremental_load(src, target, "order_no", S.ORDER_INDEX_ORDER)
-    return K.rows_to_append(delta.unionByName(delta), target, "index")
+    target = materialize(target)
+    delta = materialize(I.incremental_load(src, target, "order_no", S.ORDER_INDEX_ORDER))
+    path = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}/raw_orders"
+    K.write_overwrite(target, path)
+    for _ in range(2):
+        K.append_with_key(delta.unionByName(delta), path, "index")
+    held = read_partitioned(spark, path).select(*delta.columns)
+    return held.join(target.select(TENANT, "index"), [TENANT, "index"], "left_anti").select(*delta.columns)
+
+
+def q_append_null_keys(spark, sf):
+    """Purchase lines keyed by their PO number; those without one are rejected."""
+    po = S.purchase_order(spark, sf, with_index=False)
+    return publish(K.rows_to_append(po, None, "po_no", S.PURCHASE_INDEX_ORDER), ("po_no",))
+
+
+def q_blank_columns(spark, sf):
+    """Headers with a blank column name."""
+    _, hdr, _ = S.erp_order_tables(spark, sf)
+    return K.name_blank_columns(hdr.select(TENANT, "order_no", "ship2_name").toDF(TENANT, "order_no", "  "))
+
+
+def q_text_dates(spark, sf):
+    """C4 + E1 on order dates that came as text, some ``None`` and some cut short."""
+    _, hdr, _ = S.erp_order_tables(spark, sf)
+    day = F.date_format("date_created", "yyyy-MM-dd")
+    text = (F.when(F.col("order_no") % 7 == 0, F.lit("None")).when(F.col("order_no") % 11 == 0, F.substring(day, 1, 6))
+            .when(F.col("order_no") % 13 != 0, day))
+    rows = hdr.select(TENANT, "order_no", text.alias("date_created"))
+    kept = drop_sentinel_dates(rows, "date_created")
+    return kept.select(*kept.columns, F.lit("sentinel").alias("step")).unionByName(
+        valid_dates(kept).select(*kept.columns, F.lit("valid").alias("step")))
 
 
 def q_dedupe_columns(spark, sf):
@@ -307,6 +338,15 @@ CUSTOMER_LEVEL = ["min_c", "max_c", "len", "diff", "avg_day", "avg_metric", "rec
                   "churn_label", "freq_pur", "repeat_customer"]
 
 
+def q_sparse_labels(spark, sf):
+    """E7 + E12-E14 where customers have few lines: every label occurs."""
+    raw = S.raw_orders(spark, sf).withColumn("ship2_email_address", F.concat(
+        "ship2_email_address", F.lit("#"), (F.col("order_no") % 29).cast("string")))
+    summary = materialize(sales_summary(materialize(clean_sales(raw))))
+    return summary.groupBy(TENANT, "freq_pur", "repeat_customer", "win_back", "churn_label").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("email").alias("customers"))
+
+
 def q_churn_labels(spark, sf):
     """E9-E12 at customer grain."""
     return publish(_summary(spark, sf).select(TENANT, "email", *CUSTOMER_LEVEL[:8]).distinct())
@@ -387,6 +427,15 @@ def q_cardinality_check(spark, sf):
     return R.cardinality_violations(rfm, [TENANT, "email"])
 
 
+def q_cardinality_broken(spark, sf):
+    """A segment table in which some customers occur again."""
+    sales = _sales(spark, sf)
+    rfm = R.rfm_segments(R.rfm_scores(R.rfm_base(sales)), _summary(spark, sf, sales)).select(TENANT, "email", "cust_segment")
+    again = rfm.where(F.col("email").rlike("^c[0-9]*3@"))
+    return R.cardinality_violations(rfm.unionByName(again).unionByName(again.where(F.col("email").rlike("^c[0-9]*33@"))),
+                                    [TENANT, "email"])
+
+
 def q_summ_rfm(spark, sf):
     """J1."""
     sales = _sales(spark, sf)
@@ -514,6 +563,17 @@ def q_vendor_classes(spark, sf):
                                   "po_class").distinct()
 
 
+def q_sparse_vendor_classes(spark, sf):
+    """V4 + V6-V8 where items have few lines: every class occurs, and the contract ``0``."""
+    po = S.purchase_order(spark, sf)
+    day = F.dayofyear("date_created")
+    po = po.withColumns({
+        "item_description": F.concat("item_description", F.lit(" #"), (day * F.when(day % 3 == 0, 1).otherwise(0)).cast("string")),
+        "contract_number": F.when(day % 5 == 0, F.lit(" 0 ")).otherwise(F.col("contract_number"))})
+    return V.vendor_spend_analysis(materialize(po)).groupBy(TENANT, "vendor_class", "po_class", "contract", "po", "spend_class").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("item_description").alias("items"))
+
+
 def q_vendor_spend_analysis(spark, sf):
     """V1-V8."""
     return publish(_vsa(spark, sf), ("po_no",))

@@ -717,6 +717,14 @@ def build() -> dict[str, str]:
     q["append_with_key"] = with_(OM, snapshot_sql("order")) + """ SELECT * FROM order_delta d
         WHERE d."index" IS NOT NULL AND NOT EXISTS (
           SELECT 1 FROM order_target t WHERE t.company_id = d.company_id AND t."index" = d."index")"""
+    q["append_null_keys"] = with_(P) + f""" SELECT * REPLACE (CAST(po_no AS DOUBLE) AS po_no) FROM po_prepared WHERE po_no IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY company_id, po_no ORDER BY {order_by(PO_COLS + ['price', 'year'])}) = 1"""
+    q["blank_columns"] = with_(O) + " SELECT company_id, order_no, ship2_name AS nocolname FROM oe_hdr"
+    q["text_dates"] = with_(O) + """, d AS (SELECT company_id, order_no, CASE WHEN order_no % 7 = 0 THEN 'None'
+        WHEN order_no % 11 = 0 THEN strftime(date_created, '%Y-%m-%d')[:6] WHEN order_no % 13 <> 0 THEN strftime(date_created, '%Y-%m-%d')
+        END AS date_created FROM oe_hdr)
+        SELECT *, 'sentinel' AS step FROM d WHERE date_created IS DISTINCT FROM 'None'
+        UNION ALL SELECT *, 'valid' FROM d WHERE date_created <> 'None' AND length(date_created) >= 7"""
     q["dedupe_columns"] = with_(O) + " SELECT l.*, h.* EXCLUDE (order_no) FROM oe_line l JOIN oe_hdr h ON l.order_no = h.order_no"
     # sales
     q["sales_clean"] = with_(O, SL) + f" SELECT {SALES_OUT} FROM sales"
@@ -732,6 +740,10 @@ def build() -> dict[str, str]:
     q["sales_summary"] = with_(*SS) + f" SELECT {publish_cols(summary_cols, SUMMARY_DATES)} FROM sales_summary"
     q["winback"] = with_(*SS) + """ SELECT company_id, win_back, freq_pur, count(*) AS "rows",
         count(DISTINCT email) AS customers FROM sales_summary GROUP BY company_id, win_back, freq_pur"""
+    sparse = """raw_sparse AS (SELECT * REPLACE (ship2_email_address || '#' || CAST(order_no % 29 AS VARCHAR) AS ship2_email_address)
+        FROM raw_orders)"""
+    q["sparse_labels"] = with_(O, sparse, sales_from("raw_sparse"), SUMMARY) + """ SELECT company_id, freq_pur, repeat_customer,
+        win_back, churn_label, count(*) AS "rows", count(DISTINCT email) AS customers FROM sales_summary GROUP BY ALL"""
     q["churn_labels"] = with_(*SS) + f""" SELECT DISTINCT company_id, email,
         {publish_cols(['min_c', 'max_c', 'len', 'diff', 'avg_day', 'avg_metric', 'recent_order', 'churn_label'], {'min_c', 'max_c'})}
         FROM sales_summary"""
@@ -761,6 +773,9 @@ def build() -> dict[str, str]:
         {MS('monetary')} AS monetary FROM rfm_labeled GROUP BY company_id, quad_segment""")
     q["cardinality_check"] = with_(*rfm_full) + """ SELECT company_id, email, count(*) AS n_rows
         FROM rfm GROUP BY company_id, email HAVING count(*) > 1"""
+    q["cardinality_broken"] = with_(*rfm_full) + """ SELECT company_id, email,
+        CASE WHEN regexp_matches(email, '^c[0-9]*33@') THEN 3 ELSE 2 END::BIGINT AS n_rows
+        FROM rfm WHERE regexp_matches(email, '^c[0-9]*3@')"""
     summ_cols = ["company_id", "email", "cust_segment", "quad_segment"] + [
         c for c in summary_cols if c not in ("company_id", "email")]
     q["summ_rfm"] = with_(*rfm_full) + f""" SELECT {publish_cols(summ_cols, SUMMARY_DATES)}
@@ -825,6 +840,12 @@ def build() -> dict[str, str]:
         no_of_vendors, vendor_class, no_of_pos, po_class FROM vendor_spend_analysis"""
     q["vendor_spend_analysis"] = (with_(*VV) + " SELECT * REPLACE (CAST(po_no AS DOUBLE) AS po_no)"
                                   " FROM vendor_spend_analysis")
+    po_sparse = """po_sparse AS (SELECT * REPLACE (
+        item_description || ' #' || CAST(CASE WHEN dayofyear(date_created) % 3 = 0 THEN dayofyear(date_created) ELSE 0 END AS VARCHAR) AS item_description,
+        CASE WHEN dayofyear(date_created) % 5 = 0 THEN ' 0 ' ELSE contract_number END AS contract_number) FROM purchase_order)"""
+    q["sparse_vendor_classes"] = with_(P, po_sparse, VENDOR.replace("purchase_order", "po_sparse")) + """ SELECT company_id, vendor_class,
+        po_class, contract, po, spend_class, count(*) AS lines, count(DISTINCT item_description) AS items
+        FROM vendor_spend_analysis GROUP BY ALL"""
     q["vendor_price_book"] = with_(*VV) + " SELECT * FROM price_book"
     q["vendor_deal_rows"] = with_(*VV) + " SELECT * FROM deal_rows"
     q["vendor_item_rollup"] = with_(*VV) + " SELECT * FROM item_rollup"

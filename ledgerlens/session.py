@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,19 @@ def per_tenant(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """SQL settings for the plans made and run inside the block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def get_session(master: str | None = None, app: str = "ledgerlens",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Session with AQE (coalescing + skew join) and no web UI."""

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import TENANT
+from ..session import TENANT, materialize
+from .tables import path_exists, read_partitioned
 
 
 def remove_dup_columns(df: DataFrame) -> DataFrame:
@@ -40,7 +41,10 @@ def rows_to_append(df: DataFrame, target: DataFrame | None, key: str,
     """S6 + S10: insert-ignore on ``(company_id, key)``.
 
     Null keys are rejected, one row per key is kept (the first in ``order``
-    when given), and keys already in the target are skipped.
+    when given), and keys already in the target are skipped. Only the part of the
+    target that can hold such keys is read: the batch's tenants and its range of
+    keys are literals in the target's scan, so a batch of new keys skips every row
+    group by its statistics.
     """
     df = drop_null_keys(df, key)
     if order:
@@ -48,9 +52,14 @@ def rows_to_append(df: DataFrame, target: DataFrame | None, key: str,
         df = df.withColumn("_ll_rn", F.row_number().over(w)).filter("_ll_rn = 1").drop("_ll_rn")
     else:
         df = df.dropDuplicates([TENANT, key])
-    if target is not None:
-        df = df.join(target.select(TENANT, key), [TENANT, key], "left_anti")
-    return df
+    if target is None:
+        return df
+    df = materialize(df)
+    span = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.collect_set(TENANT).alias("tenants")).first()
+    if span["low"] is None:  # an empty batch
+        return df
+    held = target.select(TENANT, key).where(F.col(TENANT).isin(span["tenants"]) & F.col(key).between(span["low"], span["high"]))
+    return df.join(held, [TENANT, key], "left_anti")
 
 
 def write_overwrite(df: DataFrame, path: str, sort_within: list[str] | None = None,
@@ -117,3 +126,13 @@ def write_tenants(df: DataFrame, path: str, tenants: list[str], sort_within: lis
 def write_append(df: DataFrame, path: str) -> None:
     """S6 write side: append new rows to the tenant partitions."""
     df.write.mode("append").partitionBy(TENANT).parquet(path)
+
+
+def append_with_key(df: DataFrame, path: str, key: str, order: list[str] | None = None) -> None:
+    """S6 + S7 + S10: append the rows whose ``(company_id, key)`` the table lacks.
+
+    A batch delivered again adds nothing.
+    """
+    spark = df.sparkSession
+    target = read_partitioned(spark, path) if path_exists(spark, path) else None
+    write_append(rows_to_append(df, target, key, order), path)

@@ -3,8 +3,7 @@ maxima from file footers and reads above per-tenant watermarks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -12,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import TENANT, per_tenant
+from ..session import TENANT, per_tenant, settings
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,22 +28,10 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     Folder names carry no type, so ids that look like numbers or dates would
     be read as such; inference is off while the table's schema is resolved.
     """
-    with _settings(spark, {_INFER: "false"}):
+    with settings(spark, {_INFER: "false"}):
         return spark.read.parquet(path)
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-
-
 #: Tenants are read in at most this many groups of similar watermarks, so a plan
 #: stays small however many tenants there are.
 WATERMARK_GROUPS = 32
@@ -59,7 +46,7 @@ def footer_maxima(spark: SparkSession, path: str, columns: Sequence[str]) -> dic
     refuse that; the columns themselves are then read.
     """
     def run(pushed: bool) -> list:
-        with _settings(spark, {_INFER: "false", "spark.sql.parquet.aggregatePushdown": str(pushed).lower(),
+        with settings(spark, {_INFER: "false", "spark.sql.parquet.aggregatePushdown": str(pushed).lower(),
                                "spark.sql.sources.useV1SourceList": "" if pushed else "parquet"}):
             df = spark.read.parquet(path)
             return df.groupBy(TENANT).agg(*(F.max(c).alias(c) for c in columns)).collect()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerlens.plans import daily
 from ledgerlens.plans.catalog import two_days
 from ledgerlens.plans.refresh import Warehouse, refresh
+from ledgerlens.session import settings
 from ledgerlens.sources import sinks as K
 from ledgerlens.sources import tables as T
 
@@ -31,7 +32,7 @@ def keyed(spark, tmp_path_factory):
 def test_maxima_come_from_the_footers(spark, keyed):
     want = {"a": {"k": 29}, "b": {"k": 19}, "007": {"k": 4}, "nulls": {"k": None}}
     assert T.footer_maxima(spark, keyed, ["k"]) == want
-    with T._settings(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}):
+    with settings(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}):
         plan = _plan(spark.read.parquet(keyed).groupBy("company_id").agg(F.max("k"), F.max("v")))
     assert "PushedAggregation: [MAX(k), MAX(v)]" in plan and "PushedGroupBy: [company_id]" in plan
     assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""

@@ -14,7 +14,7 @@ def test_all_queries_match_oracle(spark):
     bad = {k: v for k, v in res.items() if v != "ok" and not v.startswith("rows-only")}
     assert not bad, bad
     rows_only = {k for k, v in res.items() if v.startswith("rows-only")}
-    assert rows_only == {"sales_forecast", "churn_forecast", "order_forecast", "tenant_order_forecast"}
+    assert not rows_only
 
 
 def test_entry_smoke(spark):

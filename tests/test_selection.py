@@ -19,8 +19,8 @@ def test_rows_at_ranks(spark, monkeypatch, rows, cuts):
     data += [("b", 5.0, "x" * (k % 7) + str(k)) for k in range(60)] + [("c", 1.5, "one")]
     df = spark.createDataFrame(data, "company_id string, v double, email string").repartition(3)
     ranks = {"a": [1, 57, 200, 399, 400], "b": [1, 30, 60], "c": [1]}
-    wanted = spark.createDataFrame([(t, k, r) for t, rs in ranks.items() for k, r in enumerate(rs)],
-                                   "company_id string, _ll_k int, _ll_rank long")
+    wanted = spark.createDataFrame([(t, sum(x == t for x, *_ in data), k, r) for t, rs in ranks.items() for k, r in enumerate(rs)],
+                                   "company_id string, _ll_n long, _ll_k int, _ll_rank long")
     got = {(r.company_id, r._ll_k): (r.v, r.email) for r in Q.rows_at_ranks(df, "v", "email", wanted).collect()}
     byte_order = {t: sorted(((v, e) for x, v, e in data if x == t), key=lambda p: (p[0], p[1].encode())) for t in ranks}
     assert got == {(t, k): byte_order[t][r - 1] for t, rs in ranks.items() for k, r in enumerate(rs)}
