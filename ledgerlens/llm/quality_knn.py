@@ -89,7 +89,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, x in _blocks(batch):
             yield pa.RecordBatch.from_pydict({
-                "label": rows.column("label"), "x": pa.array([r.tobytes() for r in x], pa.binary())})
+                "doc_id": rows.column("doc_id").cast(pa.string()), "label": rows.column("label"), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -109,20 +109,21 @@ def vote(latent: np.ndarray, known: np.ndarray, labels: np.ndarray) -> np.ndarra
     cos = latent @ known.T
     k = min(NEIGHBOURS, cos.shape[1])
     near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(cos, near, 1).min(1, keepdims=True)
+    for row in np.flatnonzero((cos >= least).sum(1) > k):  # equally near: those of the smallest ids
+        near[row] = np.argsort(-cos[row], kind="stable")[:k]
     weight = np.maximum(np.take_along_axis(cos, near, 1), 0).astype(np.float64) ** SHARPNESS
     total = weight.sum(1)
     return np.divide((weight * labels[near]).sum(1), total, out=np.full(len(total), 0.5), where=total > 0)
 
 
-def _scorer(space: np.ndarray, known: np.ndarray, labels: np.ndarray):
+def _scorer(space: np.ndarray, known: np.ndarray, labels: np.ndarray, text: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, x in _blocks(batch, "_text"):
+            for rows, x in _blocks(batch, text):
                 out = np.full(len(x), 0.5) if not len(known) else vote(_unit(x @ space), known, labels)
                 out[~(x[:, :TERMS] > 0).any(1)] = 0.0
-                kept = [rows.column(n) for n in rows.schema.names if n != "_text"]
-                names = [n for n in rows.schema.names if n != "_text"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.float64())], [*names, SCORE])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.float64())], [*rows.schema.names, SCORE])
 
     return score
 
@@ -140,11 +141,14 @@ def with_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     df = np.zeros(TERMS + TRAITS)
     df[freq["term"]] = freq["df"]
     learnt = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label"))
-              .where(F.col("label").isNotNull() & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+              .where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
+              .groupBy("doc_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))
     learnt = materialize(learnt)
-    sample = (texts.join(broadcast_if_small(learnt), "doc_id").dropDuplicates(["doc_id"]).select("label", "text")
-              .mapInArrow(_features, "label double, x binary").toPandas())  # at most LABELLED rows
+    # at most LABELLED rows, in the order of their ids; of rows sharing an id the smallest text counts
+    known_texts = texts.join(broadcast_if_small(learnt), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    sample = (known_texts.mapInArrow(_features, "doc_id string, label double, x binary").toPandas()
+              .sort_values("doc_id", kind="stable"))
     n = float(df.max(initial=0))
     idf = (np.log((n + 1) / (df + 1)) + 1).astype(np.float32)
     x = np.frombuffer(b"".join(sample["x"]), np.float32).reshape(-1, TERMS + TRAITS)
@@ -152,8 +156,8 @@ def with_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     known = _unit(x @ space)
     passed = docs.drop(SCORE)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed.schema)
-    return passed.withColumn("_text", F.col(text)).mapInArrow(
-        _scorer(space, known, sample["label"].to_numpy(np.float64)), f"{fields}, {SCORE} double")
+    return passed.mapInArrow(
+        _scorer(space, known, sample["label"].to_numpy(np.float64), text), f"{fields}, {SCORE} double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
