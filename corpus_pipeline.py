@@ -16,6 +16,10 @@ from ledgerlens.llm.common import broadcast_if_small, materialize
 from ledgerlens.llm.queries import table, tokenizer_file
 
 
+#: Words a packing task remembers.
+PACK_WORDS = 250_000
+
+
 def _measured(docs: DataFrame, names: list[str]) -> DataFrame:
     sized = docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else docs
     return sized.select(*names)
@@ -47,8 +51,10 @@ def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing: the place of every piece in a sequence."""
-    return packing.pack(packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), keep_ids=False))
+    """Best-fit packing: the place of every piece in a sequence. Tasks give their
+    encoder back, so the workers' memory is free for the first stage of a next run."""
+    return packing.pack(packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), keep_ids=False,
+                                             cached=PACK_WORDS, shared=False))
 
 
 STAGES = [("quality classifier", keep_good), ("line dedup", drop_lines), ("n-gram Jaccard join", drop_copies),

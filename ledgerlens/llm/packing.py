@@ -52,7 +52,8 @@ class WordEncoder:
     #: Fixed: the split pattern of the tokenizer file.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -74,7 +75,7 @@ class WordEncoder:
         """Keep the words that came again, if they are fewer than half."""
         first, ids = np.array(self.first), np.array(self.ids, np.uint32)
         keep = np.flatnonzero(self.uses > 1)
-        keep = keep if len(keep) < CACHED_WORDS // 2 else keep[:0]
+        keep = keep if len(keep) < self.cached // 2 else keep[:0]
         names = list(self.number)
         self.number = {names[k]: i for i, k in enumerate(keep)}
         parts = [ids[first[k]:first[k + 1]] for k in keep]
@@ -119,7 +120,7 @@ class WordEncoder:
         parts = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
         coded = parts.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if max(len(self.number), len(self.pieces)) > CACHED_WORDS:
+        if max(len(self.number), len(self.pieces)) > self.cached:
             self._forget()
         self._learn([w for w in words if w not in self.number])
         which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
@@ -141,9 +142,9 @@ def _encoder(path: str) -> WordEncoder:
     return _loaded[path]
 
 
-def _cutter(path: str, capacity: int, keep_ids: bool):
+def _cutter(path: str, capacity: int, keep_ids: bool, cached: int, shared: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode = _encoder(path) if shared else WordEncoder(path, cached)
         for batch in batches:
             for rows, texts in chunks(batch, "text", ENCODED_BYTES):
                 out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
@@ -165,11 +166,16 @@ def _cutter(path: str, capacity: int, keep_ids: bool):
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, keep_ids: bool = True,
-                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and (if asked) the ids."""
+                 doc_id: str = "doc_id", text: str = "text", cached: int = CACHED_WORDS, shared: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and (if asked) the ids.
+
+    A reused worker keeps its encoder and up to ``CACHED_WORDS`` words for its next
+    task; with ``shared`` false every task has its own of ``cached`` words and gives
+    it back, which costs time and leaves memory to what runs after it.
+    """
     few = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return few.mapInArrow(_cutter(tokenizer, capacity, keep_ids), schema + ", ids array<long>" * keep_ids)
+    return few.mapInArrow(_cutter(tokenizer, capacity, keep_ids, cached, shared), schema + ", ids array<long>" * keep_ids)
 
 
 # -- the plan ---------------------------------------------------------------
