@@ -76,7 +76,8 @@ FROM m
 """
 
 # the checksum of bytes b, byte by byte: its table is built from the polynomial, and every byte
-# takes one step; Latin-1 letters are one or two bytes of UTF-8
+# takes one step; Latin-1 letters are one or two bytes of UTF-8. form_n is a double, as a whole number with
+# nulls comes out of Spark by way of pandas
 _CRC_STEP = "xor(c >> 8, t.t[CAST(xor(c & 255, b) + 1 AS BIGINT)])"
 OP11 = rf"""
 WITH RECURSIVE bits(i, k, c) AS (
@@ -108,7 +109,7 @@ f AS MATERIALIZED (
   FROM w LEFT JOIN k USING (word)),
 s(word, root) AS (SELECT word, word FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL),
 e AS (SELECT s.word, s.root FROM s JOIN f ON f.word = s.root WHERE f.form IS NULL)
-SELECT f.word, f.n, f.n_near, f.form, f.form_n, e.root FROM f JOIN e USING (word)
+SELECT f.word, f.n, f.n_near, f.form, CAST(f.form_n AS DOUBLE) AS form_n, e.root FROM f JOIN e USING (word)
 """
 
 #: op8 has no SQL: its exact form is a cross join, tested in tests/llm.
