@@ -146,6 +146,36 @@ def test_main_text_of_odd_pages(spark):
     assert html_text(df.limit(0)).count() == 0
 
 
+def test_main_text_weighs_marks_against_the_text():
+    ten = [_long(k) for k in range(10)]
+    body = "".join(f"<p>{p}</p>" for p in ten)
+    art = f"<article><h1>Title</h1>{body}</article>"
+    want = _blocks("Title", *ten)
+    flat = f"<h1>Title</h1>{body}"
+    side = "<div class=sidebar><p>Some text of the side bar that is not of the article.</p></div>"
+    for page in (
+            f"<html><head><title>T</title><meta charset=utf-8><body>{art}</body></html>",                # head left open
+            f"<html><head><title>T</title>{art}</html>", f"<html><head><title>T</title><div>{art}</div></html>",
+            f"<div class='content no-sidebar'>{flat}</div>", f"<div class='content no-sidebar'>{art}{side}</div>",
+            f"<div id=page class='has-sidebar'>{art}{side}</div>", f"<form>{AROUND}{art}{AFTER.replace('form', 'div class=widget')}</form>",
+            f"<form><div>{flat}</div></form>", f"<section class='social-history'>{flat}</section>",
+            f"<section id='replies-to-critics'>{flat}</section>", f"<div class='ads-enabled with-menu'>{art}</div>",
+            f"<aside><p>Side note.</p>{art}", f"<nav><a href=/>Home</a>{art}</nav>",
+            f"<article><header><h1>Title</h1></header>{body}<footer>Tags</footer></article>"):
+        assert main_text(page) == want, page[:80]
+        assert main_text(AROUND + page + "</aside>" + AFTER) == want, page[:80]
+    inner = f"<article><h1>Title</h1><section class='social-history'>{body}</section>{body}</article>"
+    assert main_text(AROUND + inner + AFTER) == _blocks("Title", *ten, *ten)
+    # readers say more than the article, and marks beside it stay out
+    comments = "<section id='comments'><article>" + body * 4 + "</article></section>"
+    short = f"<article><h1>Title</h1><p>{ten[0]}</p></article>"
+    for name in ("comment-list", "replies", "reader comments"):
+        assert main_text(short + comments.replace("'comments'", f"'{name}'")) == _blocks("Title", ten[0])
+    for name in ("cookie-notice", "site-footer", "related-posts", "share-buttons", "ad-slot-3", "newsletter-signup", "widget"):
+        assert main_text(f"<div class='{name}'><p>{ten[1]}</p></div>{art}<div id={name}><p>{ten[2]}</p></div>") == want
+    assert main_text(f"<p>x</p><footer>{body}</footer>") == "x" and main_text(f"<dialog>{body}</dialog>") == ""
+
+
 def test_main_text_of_the_test_pages(spark):
     import html
     import re
