@@ -10,6 +10,9 @@ boundaries.
 
 ``order`` must end in a unique tie-break, otherwise counts stay right but
 the order among exact ties is arbitrary.
+
+Wide rows need not go that way: ``row_number_by_key`` ranges only (key, count)
+rows and joins the first number of each key back to the rows.
 """
 
 from __future__ import annotations
@@ -19,9 +22,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 _PID, _MID, _N, _BASE, _OFF, _CUM = "_ll_pid", "_ll_mid", "_ll_n", "_ll_base", "_ll_off", "_ll_in"
+_KEY, _IN = "_ll_key", "_ll_rank"
+
+KEY_ROWS = 10_000           # rows of one key numbered in one task; larger keys are ranged
+BROADCAST_KEYS = 100_000    # larger keys that are broadcast, more join by shuffle
 
 
 def _cols(xs: Sequence[Column | str]) -> list[Column]:
@@ -74,3 +81,37 @@ def global_running_sum(df: DataFrame, value: Column | str, order: Sequence[Colum
     stats = _offsets(ranged.groupBy(_PID, *groups).agg(F.sum(_N).alias("_ll_s")), groups, "_ll_s")
     out = local.join(F.broadcast(stats.drop("_ll_s")), [_PID, *groups])
     return out.withColumn(name, F.col(_CUM) + F.col(_OFF)).drop(_PID, _N, _CUM, _OFF)
+
+
+def row_number_by_key(df: DataFrame, key: Sequence[str], rest: Sequence[Column | str],
+                      groups: Sequence[str] = (), name: str = "row_number") -> DataFrame:
+    """1-based position of each row in ``key`` then ``rest`` within its ``groups``.
+
+    The rows are counted per key; running sums over these narrow rows give the
+    number before each key. The wide rows are shuffled once, by key, for the join
+    and for the rank inside the key alike; nothing of them is written. Keys of
+    more than ``KEY_ROWS`` rows (a null key, say) leave before that shuffle and
+    are ranged on ``rest``. Null keys are equal and come first.
+    """
+    keys = [*groups, *key]
+    named = df.withColumn(_KEY, F.struct(*keys))   # a struct equals another with nulls in the same places
+    counts = named.groupBy(_KEY).agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("_ll_rows"))
+    counts = materialize(counts.select(_KEY, "_ll_rows"))
+    plain = counts.select(_KEY, "_ll_rows", *(F.col(f"{_KEY}.{k}").alias(k) for k in keys))
+    before = global_running_sum(plain, "_ll_rows", key, groups, _BASE).select(
+        _KEY, "_ll_rows", (F.col(_BASE) - F.col("_ll_rows")).cast("bigint").alias(_BASE))
+    large = counts.where(F.col("_ll_rows") > KEY_ROWS).select(_KEY)
+    n = large.count()
+    ranked = named
+    if n:
+        large = F.broadcast(large) if n <= BROADCAST_KEYS else large
+        ranked = named.join(large, _KEY, "left_anti")
+    inside = Window.partitionBy(_KEY).orderBy(*_cols(rest))
+    ranked = ranked.join(before.drop("_ll_rows"), _KEY).withColumn(_IN, F.row_number().over(inside))
+    if n:
+        hot = named.join(large, _KEY, "left_semi")
+        hot = global_row_number(hot, rest, [_KEY], _IN)
+        first = before.where(F.col("_ll_rows") > KEY_ROWS).drop("_ll_rows")
+        hot = hot.join(F.broadcast(first) if n <= BROADCAST_KEYS else first, _KEY)
+        ranked = ranked.unionByName(hot.select(*ranked.columns))
+    return ranked.withColumn(name, F.col(_IN) + F.col(_BASE)).select(*df.columns, name)
