@@ -4,9 +4,11 @@ Texts are cut at spaces into words, each with its meta spaces in front (the
 model's dummy prefix and escaped white space). Each *distinct* word is encoded
 once: its substrings of at most the longest piece are exploded and joined to
 the piece table by equality, the edges found are grouped by word, and a Viterbi
-fold over the edges (Spark's ``aggregate``) keeps the best score and last piece
-per position; a second fold walks back. A character that is no piece by itself
-gets an edge to its byte pieces. Ids come back to the occurrences by a join:
+fold over the edges (Spark's ``aggregate``) keeps the best scores of the last
+positions and the last piece to each; a second fold walks back. Both are linear
+in the word: what is done is put away in blocks. Words longer than ``LONG`` are
+cut where no piece spans before they are grouped. A character that is no piece
+by itself gets an edge to its byte pieces. Ids come back to the occurrences by a join:
 the ``FREQUENT`` most frequent words are broadcast, the rest join by shuffle.
 
 The path is the one of highest total score under the scores of the model file
@@ -19,13 +21,14 @@ behind another character: ``load_pieces`` checks that and raises otherwise.
 
 Cases: null or empty text has no token; a run of spaces belongs to the word
 behind it and survives the round trip; a meta space in the text decodes to a
-space, as in the library; one word is folded in one task, in time square to
-its length; repeated rows are all returned; empty input gives an empty result.
+space, as in the library, so such a text does not round-trip; a stretch of a
+word that pieces span throughout is folded in one task, in time linear to its
+length; repeated rows are all returned; empty input gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -33,6 +36,9 @@ from .common import materialize
 SPACE = "▁"
 FREQUENT = 65_536   # words broadcast; the bound of that table
 UNKNOWN = -2e9      # score of an edge to byte pieces, below every piece
+LONG = 64           # characters; longer words are cut where no piece spans
+BLOCK = 256         # of positions in a fold, and of characters that are exploded at a time
+PART_CHARS = 200_000  # characters of distinct words in a partition of the lattice
 
 
 def load_pieces(spark: SparkSession, model: str) -> tuple[DataFrame, DataFrame, int, int]:
@@ -58,64 +64,114 @@ def words(text):
     return F.when(F.length(text) > 0, F.when(has_runs, runs).otherwise(plain))
 
 
-def _viterbi(edges):
-    """Last piece (start, id) of the best path to each position."""
-    zero = F.struct(F.array(F.lit(0.0)).alias("best"), F.array().cast("array<struct<start:int,id:int>>").alias("back"))
+_STEP = "struct<start:int,id:int,raw:string>"
+
+
+def _grown(cur, done, item):
+    """``item`` behind ``cur``, which goes to ``done`` when it is a full block."""
+    full = F.size(cur) >= BLOCK
+    return (F.when(full, F.array(item)).otherwise(F.concat(cur, F.array(item))),
+            F.when(full, F.concat(done, F.array(cur))).otherwise(done))
+
+
+def _empty(kind):
+    return F.array().cast(f"array<{kind}>")
+
+
+def _viterbi(edges, longest: int):
+    """Last piece (start, id, raw) of the best path to each position, from edges
+    sorted by end. ``best`` holds the scores of the last ``longest`` positions."""
+    zero = F.struct(F.array(F.lit(0.0)).alias("best"), F.lit(0).alias("at"), _empty(_STEP).alias("cur"),
+                    _empty(f"array<{_STEP}>").alias("done"))
 
     def step(acc, e):
-        total = F.get(acc["best"], e["start"]) + e["score"]
-        here = F.struct(e["start"].alias("start"), e["id"].alias("id"))
-        n = F.size(acc["best"])
-        grown = F.struct(F.concat(acc["best"], F.array(total)).alias("best"),
-                         F.concat(acc["back"], F.array(here)).alias("back"))
-        better = F.struct(F.concat(F.slice(acc["best"], 1, n - 1), F.array(total)).alias("best"),
-                          F.concat(F.slice(acc["back"], 1, n - 2), F.array(here)).alias("back"))
-        return F.when(e["end"] == n, grown).when(total > F.get(acc["best"], n - 1), better).otherwise(acc)
+        best, at, size = acc["best"], acc["at"], F.size(acc["best"])
+        total = F.get(best, e["start"] - at + size - 1) + e["score"]
+        here = F.struct(e["start"].alias("start"), e["id"].alias("id"), e["raw"].alias("raw"))
+        cur, done = _grown(acc["cur"], acc["done"], here)
+        kept = F.when(size >= longest + 1, F.slice(best, 2, longest)).otherwise(best)
+        new = F.struct(F.concat(kept, F.array(total)).alias("best"), e["end"].alias("at"), cur.alias("cur"), done.alias("done"))
+        better = F.struct(F.concat(F.slice(best, 1, size - 1), F.array(total)).alias("best"), at.alias("at"),
+                          F.concat(F.slice(acc["cur"], 1, F.size(acc["cur"]) - 1), F.array(here)).alias("cur"),
+                          acc["done"].alias("done"))
+        return F.when(e["end"] > at, new).when(total > F.get(best, size - 1), better).otherwise(acc)
 
-    return F.aggregate(edges, zero, step, lambda acc: acc["back"])
+    return F.aggregate(edges, zero, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["cur"]))
 
 
 def _walk(back):
-    """(start, id) of the pieces of the best path, first to last."""
-    start = F.struct(F.size(back).alias("at"), F.array().cast("array<struct<start:int,id:int>>").alias("path"))
+    """(start, id, raw) of the pieces of the best path, first to last."""
+    zero = F.struct(F.size(back).alias("at"), _empty(_STEP).alias("cur"), _empty(f"array<{_STEP}>").alias("done"))
 
     def step(acc, _):
         e = F.get(back, acc["at"] - 1)
-        return F.when(acc["at"] > 0, F.struct(e["start"].alias("at"), F.concat(F.array(e), acc["path"]).alias("path"))
-                      ).otherwise(acc)
+        cur, done = _grown(acc["cur"], acc["done"], e)
+        return F.when(acc["at"] > 0, F.struct(e["start"].alias("at"), cur.alias("cur"), done.alias("done"))).otherwise(acc)
+
+    return F.aggregate(back, zero, step, lambda acc: F.reverse(F.concat(F.flatten(acc["done"]), acc["cur"])))
+
+
+def _edges(parts: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """(uid, e) with e = (end, start, id, score, raw) of every edge; a word's
+    characters are taken in blocks, so that no substring is searched from its start."""
+    blocks = parts.select("uid", F.regexp_extract_all("word", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("b"))
+    blocks = blocks.select("uid", F.explode(F.transform("b", lambda t, i: F.struct(
+        (i * BLOCK).alias("base"), F.length(t).alias("own"),
+        F.concat(t, F.coalesce(F.substring(F.get("b", i + 1), 1, longest), F.lit(""))).alias("text")))).alias("t"))
+    starts = blocks.select("uid", "t.*", F.explode(F.sequence(F.lit(0), F.col("t.own") - 1)).alias("s"))
+    spans = starts.select("uid", (F.col("base") + F.col("s")).alias("start"), F.explode(F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.length("text") - F.col("s"))),
+        lambda n: F.struct(n.alias("n"), F.substring("text", F.col("s") + 1, n).alias("piece")))).alias("p"))
+    found = spans.select("uid", "start", "p.n", "p.piece").join(F.broadcast(pieces), "piece", "left")
+    return found.where("id IS NOT NULL OR n = 1").select("uid", F.struct(
+        (F.col("start") + F.col("n")).alias("end"), "start", F.coalesce("id", F.lit(-1)).alias("id"),
+        F.coalesce("score", F.lit(UNKNOWN)).alias("score"), F.when(F.col("id").isNull(), F.col("piece")).alias("raw")).alias("e"))
+
+
+def _paths(edges: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    """``keys`` with the best path over their edges."""
+    grouped = edges.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("edges"))
+    first = F.get("edges", 0)["start"]
+    # positions from the first edge's start, which is the smallest
+    moved = F.transform("edges", lambda e: e.withField("start", e["start"] - first).withField("end", e["end"] - first))
+    backs = grouped.select(*keys, _viterbi(moved, longest).alias("back"))
+    return backs.select(*keys, _walk(F.col("back")).alias("path"))
+
 
-    return F.aggregate(back, start, step, lambda acc: acc["path"])
+def _partitions(rows: DataFrame, size) -> int:
+    n = rows.agg(F.sum(size).alias("n")).first()["n"]
+    return 1 + int(n or 0) // PART_CHARS
 
 
 def encode_words(distinct: DataFrame, pieces: DataFrame, zero: int, longest: int) -> DataFrame:
-    """``distinct`` (uid, word) with ids (array of int)."""
-    chars = F.length("word")
-    # all rows of a word are made, joined and grouped in the partition of its uid
-    parts = distinct.repartition(F.col("uid"))
-    starts = parts.select("uid", "word", F.explode(F.sequence(F.lit(0), chars - 1)).alias("start"))
-    spans = starts.select("uid", "start", F.explode(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), chars - F.col("start"))),
-        lambda n: F.struct((F.col("start") + n).alias("end"), F.substring("word", F.col("start") + 1, n).alias("piece")))).alias("s"))
-    edges = (spans.select("uid", "start", "s.end", "s.piece").join(F.broadcast(pieces), "piece", "left")
-             .where(F.col("id").isNotNull() | (F.col("end") == F.col("start") + 1))
-             .select("uid", F.struct("end", "start", F.coalesce("id", F.lit(-1)).alias("id"),
-                                     F.coalesce("score", F.lit(UNKNOWN)).alias("score")).alias("e")))
-    paths = edges.groupBy("uid").agg(F.array_sort(F.collect_list("e")).alias("edges"))
-    paths = paths.select("uid", _viterbi(F.col("edges")).alias("back"))
-    paths = paths.select("uid", _walk(F.col("back")).alias("path")).join(parts, "uid")
-    raw = lambda s: F.hex(F.encode(F.substring("word", s + 1, F.lit(1)), "utf-8"))
-    as_bytes = lambda s: F.transform(
-        F.sequence(F.lit(1), F.length(raw(s)), F.lit(2)),
-        lambda k: F.conv(F.substring(raw(s), k, F.lit(2)), 16, 10).cast("int") + zero)
-    ids = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(as_bytes(e["start"]))))
-    return paths.select("uid", "word", ids.alias("ids"))
+    """``distinct`` (uid, word), written, with ids (array of int)."""
+    # all rows of a word are made, joined and grouped in the partition of its uid; the number
+    # of partitions follows the characters, as a word's edges take many times its bytes
+    parts = distinct.repartition(_partitions(distinct, F.length("word")), "uid")
+    short = _paths(_edges(parts.where(F.length("word") <= LONG), pieces, longest), ["uid"], longest)
+    long = _edges(parts.where(F.length("word") > LONG), pieces, longest)
+    before = Window.partitionBy("uid").orderBy("e.start").rangeBetween(Window.unboundedPreceding, -1)
+    cut = long.withColumn("cut", F.coalesce(F.max("e.end").over(before), F.lit(0)) <= F.col("e.start"))
+    # a stretch is named by its first position
+    upto = Window.partitionBy("uid").orderBy("e.start").rangeBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumn("part", F.max(F.when(F.col("cut"), F.col("e.start"))).over(upto))
+    stretches = _paths(cut.select("uid", "part", "e"), ["uid", "part"], longest)
+    whole = stretches.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("part", "path"))).alias("p"))
+    paths = short.unionByName(whole.select("uid", F.flatten(F.col("p.path")).alias("path")))
+    as_bytes = lambda raw: F.transform(
+        F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda k: F.conv(F.substring(raw, k, F.lit(2)), 16, 10).cast("int") + zero)
+    ids = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(
+        as_bytes(F.hex(F.encode(e["raw"], "utf-8"))))))
+    return paths.select("uid", ids.alias("ids"))
 
 
 def decode_words(encoded: DataFrame, raw: DataFrame) -> DataFrame:
-    """(uid, decoded) of rows (uid, ids): the bytes of the pieces in order."""
-    parts = encoded.select("uid", F.posexplode("ids").alias("at", "id")).join(F.broadcast(raw), "id")
-    joined = parts.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("at", F.hex("raw").alias("hex")))).alias("p"))
-    return joined.select("uid", F.decode(F.unhex(F.array_join(F.col("p.hex"), "")), "utf-8").alias("decoded"))
+    """(uid, ids, decoded) of written rows (uid, ids): the bytes of the pieces in order."""
+    rows = encoded.repartition(_partitions(encoded, F.size("ids")), "uid")
+    parts = rows.select("uid", F.posexplode("ids").alias("at", "id")).join(F.broadcast(raw), "id")
+    joined = parts.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("at", "id", F.hex("raw").alias("hex")))).alias("p"))
+    return joined.select("uid", F.col("p.id").alias("ids"),
+                         F.decode(F.unhex(F.array_join(F.col("p.hex"), "")), "utf-8").alias("decoded"))
 
 
 def word_table(docs: DataFrame, pieces: DataFrame, raw: DataFrame, zero: int, longest: int,
@@ -124,14 +180,15 @@ def word_table(docs: DataFrame, pieces: DataFrame, raw: DataFrame, zero: int, lo
     counted = docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counted = materialize(counted.withColumn("uid", F.monotonically_increasing_id()))
     encoded = materialize(encode_words(counted.select("uid", "word"), pieces, zero, longest))
-    decoded = decode_words(encoded.select("uid", "ids"), raw)
-    return materialize(encoded.join(decoded, "uid", "left").join(counted.select("uid", "n"), "uid"))
+    return materialize(counted.join(decode_words(encoded, raw), "uid"))
 
 
 def encode(docs: DataFrame, table: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keys``, at (word number), word, ids, decoded: one row per word of each
-    text; a text without words is one row with nulls."""
-    each = docs.select(*keys, F.posexplode_outer(words(F.col(text))).alias("at", "word"))
+    """``keys``, literal (does the text hold a meta space?), at (word number),
+    word, ids, decoded: one row per word of each text; a text without words is
+    one row with nulls."""
+    literal = F.coalesce(F.col(text).contains(SPACE), F.lit(False)).alias("literal")
+    each = docs.select(*keys, literal, F.posexplode_outer(words(F.col(text))).alias("at", "word"))
     frequent = materialize(table.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "ids", "decoded"))
     met = each.join(F.broadcast(frequent), "word", "left")
     rare = each.join(F.broadcast(frequent.select("word")), "word", "left_anti").where("word IS NOT NULL")
@@ -149,8 +206,9 @@ def texts(encoded: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 def digests(encoded: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per text: number of tokens, an order-sensitive digest of the ids, and
-    whether all words decode to themselves."""
+    whether it decodes to itself (all words do, and no meta space of the text
+    becomes a space)."""
     return encoded.groupBy(*keys).agg(
         F.sum(F.coalesce(F.size("ids"), F.lit(0)).cast("long")).alias("n_tokens"),
         F.coalesce(F.bit_xor(F.when(F.col("word").isNotNull(), F.xxhash64("at", "ids"))), F.lit(0).cast("long")).alias("ids_digest"),
-        F.coalesce(F.bool_and(F.col("decoded") == F.col("word")), F.lit(True)).alias("round_trip"))
+        F.coalesce(F.bool_and((F.col("decoded") == F.col("word")) & ~F.col("literal")), F.lit(True)).alias("round_trip"))
