@@ -5,9 +5,9 @@ model's dummy prefix and escaped white space). Each *distinct* word is encoded
 once: its substrings of at most the longest piece are exploded and joined to
 the piece table by equality, the edges found are grouped by word, and a Viterbi
 fold over the edges (Spark's ``aggregate``) keeps the best scores of the last
-positions and the last piece to each; a second fold walks back. Both are linear
-in the word: what is done is put away in blocks. Words longer than ``LONG`` are
-cut where no piece spans before they are grouped. A character that is no piece
+positions and the last piece to each; a second fold walks back. Words longer
+than ``LONG`` are cut where no piece spans before they are grouped, and their
+folds are linear: what is done is put away in blocks. A character that is no piece
 by itself gets an edge to its byte pieces. Ids come back to the occurrences by a join:
 the ``FREQUENT`` most frequent words are broadcast, the rest join by shuffle.
 
@@ -78,9 +78,38 @@ def _empty(kind):
     return F.array().cast(f"array<{kind}>")
 
 
-def _viterbi(edges, longest: int):
-    """Last piece (start, id, raw) of the best path to each position, from edges
-    sorted by end. ``best`` holds the scores of the last ``longest`` positions."""
+def _viterbi(edges):
+    """Last piece (start, id, raw) of the best path to each position of a short
+    word, from edges sorted by end."""
+    zero = F.struct(F.array(F.lit(0.0)).alias("best"), _empty(_STEP).alias("back"))
+
+    def step(acc, e):
+        total = F.get(acc["best"], e["start"]) + e["score"]
+        here = F.struct(e["start"].alias("start"), e["id"].alias("id"), e["raw"].alias("raw"))
+        n = F.size(acc["best"])
+        grown = F.struct(F.concat(acc["best"], F.array(total)).alias("best"),
+                         F.concat(acc["back"], F.array(here)).alias("back"))
+        better = F.struct(F.concat(F.slice(acc["best"], 1, n - 1), F.array(total)).alias("best"),
+                          F.concat(F.slice(acc["back"], 1, n - 2), F.array(here)).alias("back"))
+        return F.when(e["end"] == n, grown).when(total > F.get(acc["best"], n - 1), better).otherwise(acc)
+
+    return F.aggregate(edges, zero, step, lambda acc: acc["back"])
+
+
+def _walk(back):
+    """(start, id, raw) of the pieces of the best path, first to last."""
+    zero = F.struct(F.size(back).alias("at"), _empty(_STEP).alias("path"))
+
+    def step(acc, _):
+        e = F.get(back, acc["at"] - 1)
+        return F.when(acc["at"] > 0, F.struct(e["start"].alias("at"), F.concat(F.array(e), acc["path"]).alias("path"))
+                      ).otherwise(acc)
+
+    return F.aggregate(back, zero, step, lambda acc: acc["path"])
+
+
+def _viterbi_long(edges, longest: int):
+    """The same of a stretch of any length. ``best`` holds the scores of the last ``longest`` positions."""
     zero = F.struct(F.array(F.lit(0.0)).alias("best"), F.lit(0).alias("at"), _empty(_STEP).alias("cur"),
                     _empty(f"array<{_STEP}>").alias("done"))
 
@@ -99,8 +128,7 @@ def _viterbi(edges, longest: int):
     return F.aggregate(edges, zero, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["cur"]))
 
 
-def _walk(back):
-    """(start, id, raw) of the pieces of the best path, first to last."""
+def _walk_long(back):
     zero = F.struct(F.size(back).alias("at"), _empty(_STEP).alias("cur"), _empty(f"array<{_STEP}>").alias("done"))
 
     def step(acc, _):
@@ -111,31 +139,50 @@ def _walk(back):
     return F.aggregate(back, zero, step, lambda acc: F.reverse(F.concat(F.flatten(acc["done"]), acc["cur"])))
 
 
-def _edges(parts: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(uid, e) with e = (end, start, id, score, raw) of every edge; a word's
-    characters are taken in blocks, so that no substring is searched from its start."""
+def _found(spans: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(uid, e) with e = (end, start, id, score, raw) of every edge among the
+    substrings (uid, start, n, piece)."""
+    found = spans.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR n = 1")
+    return found.select("uid", F.struct(
+        (F.col("start") + F.col("n")).alias("end"), "start", F.coalesce("id", F.lit(-1)).alias("id"),
+        F.coalesce("score", F.lit(UNKNOWN)).alias("score"), F.when(F.col("id").isNull(), F.col("piece")).alias("raw")).alias("e"))
+
+
+def _substrings(rows: DataFrame, at, text, longest: int, *keep: str) -> DataFrame:
+    """``keep``, n and piece of the substrings of ``text`` that begin at ``at``."""
+    return rows.select(*keep, F.explode(F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.length(text) - at)),
+        lambda n: F.struct(n.alias("n"), F.substring(text, at + 1, n).alias("piece")))).alias("p")).select(*keep, "p.n", "p.piece")
+
+
+def _short_paths(parts: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    starts = parts.select("uid", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    edges = _found(_substrings(starts, F.col("start"), F.col("word"), longest, "uid", "start"), pieces)
+    paths = edges.groupBy("uid").agg(F.array_sort(F.collect_list("e")).alias("edges"))
+    paths = paths.select("uid", _viterbi(F.col("edges")).alias("back"))
+    return paths.select("uid", _walk(F.col("back")).alias("path"))
+
+
+def _long_paths(parts: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    # characters are taken in blocks, so that no substring is searched from the word's start
     blocks = parts.select("uid", F.regexp_extract_all("word", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("b"))
     blocks = blocks.select("uid", F.explode(F.transform("b", lambda t, i: F.struct(
         (i * BLOCK).alias("base"), F.length(t).alias("own"),
         F.concat(t, F.coalesce(F.substring(F.get("b", i + 1), 1, longest), F.lit(""))).alias("text")))).alias("t"))
     starts = blocks.select("uid", "t.*", F.explode(F.sequence(F.lit(0), F.col("t.own") - 1)).alias("s"))
-    spans = starts.select("uid", (F.col("base") + F.col("s")).alias("start"), F.explode(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), F.length("text") - F.col("s"))),
-        lambda n: F.struct(n.alias("n"), F.substring("text", F.col("s") + 1, n).alias("piece")))).alias("p"))
-    found = spans.select("uid", "start", "p.n", "p.piece").join(F.broadcast(pieces), "piece", "left")
-    return found.where("id IS NOT NULL OR n = 1").select("uid", F.struct(
-        (F.col("start") + F.col("n")).alias("end"), "start", F.coalesce("id", F.lit(-1)).alias("id"),
-        F.coalesce("score", F.lit(UNKNOWN)).alias("score"), F.when(F.col("id").isNull(), F.col("piece")).alias("raw")).alias("e"))
-
-
-def _paths(edges: DataFrame, keys: list[str], longest: int) -> DataFrame:
-    """``keys`` with the best path over their edges."""
-    grouped = edges.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("edges"))
-    first = F.get("edges", 0)["start"]
-    # positions from the first edge's start, which is the smallest
-    moved = F.transform("edges", lambda e: e.withField("start", e["start"] - first).withField("end", e["end"] - first))
-    backs = grouped.select(*keys, _viterbi(moved, longest).alias("back"))
-    return backs.select(*keys, _walk(F.col("back")).alias("path"))
+    starts = starts.withColumn("start", F.col("base") + F.col("s"))
+    edges = _found(_substrings(starts, F.col("s"), F.col("text"), longest, "uid", "start"), pieces)
+    # a stretch begins where no earlier edge reaches beyond, and is named by its first position
+    w = Window.partitionBy("uid").orderBy("e.start")
+    reach = F.coalesce(F.max("e.end").over(w.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = edges.withColumn("begin", F.when(reach <= F.col("e.start"), F.col("e.start")))
+    cut = cut.select("uid", "e", F.max("begin").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("part"))
+    paths = cut.groupBy("uid", "part").agg(F.array_sort(F.collect_list("e")).alias("edges"))
+    moved = F.transform("edges", lambda e: e.withField("start", e["start"] - F.col("part")).withField("end", e["end"] - F.col("part")))
+    paths = paths.select("uid", "part", _viterbi_long(moved, longest).alias("back"))
+    paths = paths.select("uid", "part", _walk_long(F.col("back")).alias("path"))
+    whole = paths.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("part", "path"))).alias("p"))
+    return whole.select("uid", F.flatten(F.col("p.path")).alias("path"))
 
 
 def _partitions(rows: DataFrame, size) -> int:
@@ -148,16 +195,8 @@ def encode_words(distinct: DataFrame, pieces: DataFrame, zero: int, longest: int
     # all rows of a word are made, joined and grouped in the partition of its uid; the number
     # of partitions follows the characters, as a word's edges take many times its bytes
     parts = distinct.repartition(_partitions(distinct, F.length("word")), "uid")
-    short = _paths(_edges(parts.where(F.length("word") <= LONG), pieces, longest), ["uid"], longest)
-    long = _edges(parts.where(F.length("word") > LONG), pieces, longest)
-    before = Window.partitionBy("uid").orderBy("e.start").rangeBetween(Window.unboundedPreceding, -1)
-    cut = long.withColumn("cut", F.coalesce(F.max("e.end").over(before), F.lit(0)) <= F.col("e.start"))
-    # a stretch is named by its first position
-    upto = Window.partitionBy("uid").orderBy("e.start").rangeBetween(Window.unboundedPreceding, 0)
-    cut = cut.withColumn("part", F.max(F.when(F.col("cut"), F.col("e.start"))).over(upto))
-    stretches = _paths(cut.select("uid", "part", "e"), ["uid", "part"], longest)
-    whole = stretches.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("part", "path"))).alias("p"))
-    paths = short.unionByName(whole.select("uid", F.flatten(F.col("p.path")).alias("path")))
+    paths = _short_paths(parts.where(F.length("word") <= LONG), pieces, longest).unionByName(
+        _long_paths(parts.where(F.length("word") > LONG), pieces, longest))
     as_bytes = lambda raw: F.transform(
         F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda k: F.conv(F.substring(raw, k, F.lit(2)), 16, 10).cast("int") + zero)
     ids = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(
