@@ -4,7 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import ordering
-from ledgerlens.operators.ordering import global_row_number, global_running_sum, row_number_by_key
+from ledgerlens.operators.ordering import (global_row_number, global_running_sum, row_number_by_key,
+                                           written_row_number)
 
 
 def _data(spark, n=3000):
@@ -73,3 +74,17 @@ def test_row_number_by_key_writes_narrow_rows_only(spark, tmp_path):
     start = written()
     assert row_number_by_key(spark.read.parquet(path), ["k"], ["r"], ["g"], "n").count() == 700
     assert written() - start < size / 10
+
+
+def test_written_row_number_equals_window_and_reads_its_input_once(spark, tmp_path):
+    df = _key_rows(spark)
+    want = sorted(map(str, df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("k", "r"))).collect()))
+    got = written_row_number(df, ["k", "r"], ["g"], "n")
+    assert got.columns == ["g", "k", "r", "pad", "n"]
+    assert sorted(map(str, got.collect())) == want
+    assert written_row_number(df.limit(0), ["k", "r"], ["g"], "n").count() == 0
+    # what is read later is the written copy: its input may be gone by then
+    path = f"{tmp_path}/rows"
+    df.write.parquet(path)
+    got = written_row_number(spark.read.parquet(path), ["k", "r"], ["g"], "n")
+    assert path not in " ".join(got.inputFiles()) and got.count() == df.count()
