@@ -1,7 +1,11 @@
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import ingest as I
+from ledgerlens.session import settings
 from ledgerlens.sources import sinks as K
+from ledgerlens.sources.extract import _extract
 from ledgerlens.sources.standins import ORDER_INDEX_ORDER
 from ledgerlens.sources.tables import read_partitioned
 
@@ -55,6 +59,37 @@ def test_append_with_key_is_idempotent(spark):
     assert K.rows_to_append(new, target.unionByName(new), "k").count() == 0
 
 
+def test_append_shuffles_whole_rows_once(spark):
+    def exchanges(df):
+        df.collect()
+        return re.findall(r"Exchange hashpartitioning\(([^\n]*)", df._jdf.queryExecution().executedPlan().toString().split(
+            "== Initial Plan ==")[0])
+
+    schema = "company_id string, k long, v string"
+    target = spark.createDataFrame([("t0", 1, "a"), ("t0", 2, "b")], schema)
+    batch = spark.createDataFrame([("t0", 2, "b"), ("t0", 3, "c"), ("t0", 3, "c"), (None, 3, "n")], schema)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        new = K.rows_to_append(batch, target, "k")
+        assert sorted((str(r.company_id), r.k) for r in new.collect()) == [("None", 3), ("t0", 3)]
+        assert len(exchanges(new)) == 2   # the rows, and the keys that are new
+        assert exchanges(K.rows_to_append(target, target, "k")) == []
+
+
+def test_extract_joins_the_lookup_to_the_narrow_lines(spark):
+    line = spark.createDataFrame([(1, 7, 2.0), (1, 8, 3.0), (2, None, 4.0)], "k long, u long, q double")
+    header = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "company_id string, k long")
+    lookup = spark.createDataFrame([(7, "x")], "u long, d string")
+    out = _extract(line, header, lookup, "k", "u")
+    assert sorted((r.company_id, r.k, r.q, str(r.d)) for r in out.collect()) == [
+        ("a", 1, 2.0, "x"), ("a", 1, 3.0, "None"), ("b", 2, 4.0, "None")]
+    top = re.search(r"Join (\w+)", out._jdf.queryExecution().optimizedPlan().toString())
+    assert top.group(1) == "Inner"    # the header is joined last
+    own = spark.createDataFrame([("a", 7, "x"), ("b", 7, "y")], "company_id string, u long, d string")
+    out = _extract(line, header, own, "k", "u")   # a lookup per tenant waits for the header's tenant
+    assert sorted((r.company_id, r.k, r.q, str(r.d)) for r in out.collect()) == [
+        ("a", 1, 2.0, "x"), ("a", 1, 3.0, "None"), ("b", 2, 4.0, "None")]
+
+
 def test_duplicate_and_blank_columns(spark):
     a = spark.createDataFrame([(1, "x")], "id long, v string")
     b = spark.createDataFrame([(1, "y")], "ID long, w string")
