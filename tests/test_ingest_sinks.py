@@ -71,7 +71,7 @@ def test_append_shuffles_whole_rows_once(spark):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
         new = K.rows_to_append(batch, target, "k")
         assert sorted((str(r.company_id), r.k) for r in new.collect()) == [("None", 3), ("t0", 3)]
-        assert len(exchanges(new)) == 2   # the rows, and the keys that are new
+        assert len(exchanges(new)) == 3   # the rows, the batch's keys and the target's
         assert exchanges(K.rows_to_append(target, target, "k")) == []
 
 
