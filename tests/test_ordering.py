@@ -88,3 +88,21 @@ def test_written_row_number_equals_window_and_reads_its_input_once(spark, tmp_pa
     df.write.parquet(path)
     got = written_row_number(spark.read.parquet(path), ["k", "r"], ["g"], "n")
     assert path not in " ".join(got.inputFiles()) and got.count() == df.count()
+
+
+def test_ranged_rows_are_written_compressed(spark):
+    """What the helpers keep between ranging and counting is parquet, not rows as they are in memory."""
+    import os
+
+    from ledgerlens.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def written():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names)
+
+    df = spark.range(50_000).selectExpr("id AS k", "repeat('x', 400) AS pad", "'g' AS g")
+    for call in (lambda: global_row_number(df, ["k"], ["g"], "n"),
+                 lambda: global_running_sum(df, F.col("k").cast("decimal(38,0)"), ["k"], ["g"], "s")):
+        start = written()
+        assert call().count() == 50_000
+        assert written() - start < 50_000 * 100
