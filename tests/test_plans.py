@@ -68,3 +68,21 @@ def test_consumers_of_materialized_tables_prune_columns(spark):
     plan = _final_plan(QUERIES["daily_sales"](spark, SF))
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
     assert scans and all(len(cols.split(",")) <= 3 for cols in scans), scans
+
+
+@pytest.mark.parametrize("name", ["tenant_rfm_segments", "sparse_vendor_classes"])
+def test_frames_read_once_are_not_written(spark, monkeypatch, name):
+    from ledgerlens.plans import catalog
+    written = []
+    monkeypatch.setattr(catalog, "materialize", lambda df: written.append(df.columns) or df)
+    QUERIES[name](spark, SF)
+    assert written == []
+
+
+def test_segments_join_the_summary_without_sorting_it(spark):
+    from ledgerlens.operators.rfm import summary_with_segments
+    seg = spark.createDataFrame([("t", "a", "s", "q")], "company_id string, email string, cust_segment string, quad_segment string")
+    summary = spark.createDataFrame([("t", "a", 1), ("t", "b", 2)], "company_id string, email string, v int")
+    out = summary_with_segments(seg, summary)
+    assert sorted((r.email, r.cust_segment, r.v) for r in out.collect()) == [("a", "s", 1), ("b", None, 2)]
+    assert re.search(r"ShuffledHashJoin.*LeftOuter", _plan(out))

@@ -93,3 +93,16 @@ def test_gap_churn(spark):
     assert a.avg_rate == 4.0 and a.churn_label == "churn"
     assert {r.churn_label_latest for k, r in g.items() if k[0] == "a@x"} == {"churn"}
     assert g[("b@x", "2020-03-01")].churn_label == "active"
+
+
+def test_rows_equal_to_the_first_share_its_gap_and_lines_are_shuffled_once(spark):
+    line = {"ship2_email_address": "a@x", "supplier_id": None}
+    rows = [{**line, "date_created": ts("2020-01-01"), "order_no": 1},
+            {**line, "date_created": ts("2020-01-05"), "order_no": 2},
+            {**line, "date_created": ts("2020-01-05"), "order_no": 2, "supplier_id": 3}]
+    sales = clean_sales(raw_orders(spark, rows))
+    twice = sales.unionByName(sales)
+    out = sorted((r.order_id, r.supplier_id or 0, r.interval) for r in sales_summary(twice).collect())
+    assert out == [(1, 0, 0)] * 2 + [(2, 0, 4)] * 2 + [(2, 3, 0)] * 2     # a null supplier comes first
+    plan = sales_summary(sales)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
