@@ -1,15 +1,18 @@
-"""SentencePiece encoding and decoding as a relational lattice.
+"""SentencePiece encoding and decoding by a lattice of pieces.
 
 Texts are cut at spaces into words, each with its meta spaces in front (the
-model's dummy prefix and escaped white space). Each *distinct* word is encoded
-once: its substrings of at most the longest piece are exploded and joined to
-the piece table by equality, the edges found are grouped by word, and a Viterbi
-fold over the edges (Spark's ``aggregate``) keeps the best scores of the last
-positions and the last piece to each; a second fold walks back. Words longer
-than ``LONG`` are cut where no piece spans before they are grouped, and their
-folds are linear: what is done is put away in blocks. A character that is no piece
-by itself gets an edge to its byte pieces. Ids come back to the occurrences by a join:
-the ``FREQUENT`` most frequent words are broadcast, the rest join by shuffle.
+model's dummy prefix and escaped white space). The lattice of a word has an edge
+for every substring that is a piece; the pieces stand in a tree of characters, and
+the search from a position ends where no piece goes on. A character that is no piece by itself gets an
+edge to its byte pieces. The best scores go forward over the edges and the last
+piece to each position goes back (Viterbi), in time linear to the word.
+
+``encode_texts`` encodes whole texts where they stand: an Arrow task looks its
+words up among those its worker has met (``CACHED`` words of up to ``LONG`` characters) and
+builds the lattice of the others, so nothing is shuffled or written. ``word_table``
+encodes each distinct word of a corpus once, by the same lattice; ``encode`` joins
+such a table to the occurrences: the ``FREQUENT`` most frequent words are
+broadcast, the rest join by shuffle.
 
 The path is the one of highest total score under the scores of the model file
 (ties: the shorter last piece loses), as in the unigram model of SentencePiece;
@@ -21,24 +24,35 @@ behind another character: ``load_pieces`` checks that and raises otherwise.
 
 Cases: null or empty text has no token; a run of spaces belongs to the word
 behind it and survives the round trip; a meta space in the text decodes to a
-space, as in the library, so such a text does not round-trip; a stretch of a
-word that pieces span throughout is folded in one task, in time linear to its
-length; repeated rows are all returned; empty input gives an empty result.
+space, as in the library, so such a text does not round-trip; repeated rows are
+all returned; empty input gives an empty result. Memory of a task: slices of about
+1 MB of text, or one longer text, and the cache.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+import uuid
+from array import array
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from .common import materialize
+from .textarrays import chunks
 
 SPACE = "▁"
 FREQUENT = 65_536   # words broadcast; the bound of that table
 UNKNOWN = -2e9      # score of an edge to byte pieces, below every piece
-LONG = 64           # characters; longer words are cut where no piece spans
-BLOCK = 256         # of positions in a fold, and of characters that are exploded at a time
-PART_CHARS = 200_000  # characters of distinct words in a partition of the lattice
+LONG = 64           # characters; longer words are not remembered
+CACHED = 800_000    # words a worker remembers
+
+_RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
 def load_pieces(spark: SparkSession, model: str) -> tuple[DataFrame, DataFrame, int, int]:
@@ -64,153 +78,150 @@ def words(text):
     return F.when(F.length(text) > 0, F.when(has_runs, runs).otherwise(plain))
 
 
-_STEP = "struct<start:int,id:int,raw:string>"
-
-
-def _grown(cur, done, item):
-    """``item`` behind ``cur``, which goes to ``done`` when it is a full block."""
-    full = F.size(cur) >= BLOCK
-    return (F.when(full, F.array(item)).otherwise(F.concat(cur, F.array(item))),
-            F.when(full, F.concat(done, F.array(cur))).otherwise(done))
-
-
-def _empty(kind):
-    return F.array().cast(f"array<{kind}>")
-
-
-def _viterbi(edges):
-    """Last piece (start, id, raw) of the best path to each position of a short
-    word, from edges sorted by end."""
-    zero = F.struct(F.array(F.lit(0.0)).alias("best"), _empty(_STEP).alias("back"))
-
-    def step(acc, e):
-        total = F.get(acc["best"], e["start"]) + e["score"]
-        here = F.struct(e["start"].alias("start"), e["id"].alias("id"), e["raw"].alias("raw"))
-        n = F.size(acc["best"])
-        grown = F.struct(F.concat(acc["best"], F.array(total)).alias("best"),
-                         F.concat(acc["back"], F.array(here)).alias("back"))
-        better = F.struct(F.concat(F.slice(acc["best"], 1, n - 1), F.array(total)).alias("best"),
-                          F.concat(F.slice(acc["back"], 1, n - 2), F.array(here)).alias("back"))
-        return F.when(e["end"] == n, grown).when(total > F.get(acc["best"], n - 1), better).otherwise(acc)
-
-    return F.aggregate(edges, zero, step, lambda acc: acc["back"])
-
-
-def _walk(back):
-    """(start, id, raw) of the pieces of the best path, first to last."""
-    zero = F.struct(F.size(back).alias("at"), _empty(_STEP).alias("path"))
-
-    def step(acc, _):
-        e = F.get(back, acc["at"] - 1)
-        return F.when(acc["at"] > 0, F.struct(e["start"].alias("at"), F.concat(F.array(e), acc["path"]).alias("path"))
-                      ).otherwise(acc)
-
-    return F.aggregate(back, zero, step, lambda acc: acc["path"])
-
-
-def _viterbi_long(edges, longest: int):
-    """The same of a stretch of any length. ``best`` holds the scores of the last ``longest`` positions."""
-    zero = F.struct(F.array(F.lit(0.0)).alias("best"), F.lit(0).alias("at"), _empty(_STEP).alias("cur"),
-                    _empty(f"array<{_STEP}>").alias("done"))
-
-    def step(acc, e):
-        best, at, size = acc["best"], acc["at"], F.size(acc["best"])
-        total = F.get(best, e["start"] - at + size - 1) + e["score"]
-        here = F.struct(e["start"].alias("start"), e["id"].alias("id"), e["raw"].alias("raw"))
-        cur, done = _grown(acc["cur"], acc["done"], here)
-        kept = F.when(size >= longest + 1, F.slice(best, 2, longest)).otherwise(best)
-        new = F.struct(F.concat(kept, F.array(total)).alias("best"), e["end"].alias("at"), cur.alias("cur"), done.alias("done"))
-        better = F.struct(F.concat(F.slice(best, 1, size - 1), F.array(total)).alias("best"), at.alias("at"),
-                          F.concat(F.slice(acc["cur"], 1, F.size(acc["cur"]) - 1), F.array(here)).alias("cur"),
-                          acc["done"].alias("done"))
-        return F.when(e["end"] > at, new).when(total > F.get(best, size - 1), better).otherwise(acc)
-
-    return F.aggregate(edges, zero, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["cur"]))
-
-
-def _walk_long(back):
-    zero = F.struct(F.size(back).alias("at"), _empty(_STEP).alias("cur"), _empty(f"array<{_STEP}>").alias("done"))
-
-    def step(acc, _):
-        e = F.get(back, acc["at"] - 1)
-        cur, done = _grown(acc["cur"], acc["done"], e)
-        return F.when(acc["at"] > 0, F.struct(e["start"].alias("at"), cur.alias("cur"), done.alias("done"))).otherwise(acc)
-
-    return F.aggregate(back, zero, step, lambda acc: F.reverse(F.concat(F.flatten(acc["done"]), acc["cur"])))
-
-
-def _found(spans: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(uid, e) with e = (end, start, id, score, raw) of every edge among the
-    substrings (uid, start, n, piece)."""
-    found = spans.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR n = 1")
-    return found.select("uid", F.struct(
-        (F.col("start") + F.col("n")).alias("end"), "start", F.coalesce("id", F.lit(-1)).alias("id"),
-        F.coalesce("score", F.lit(UNKNOWN)).alias("score"), F.when(F.col("id").isNull(), F.col("piece")).alias("raw")).alias("e"))
-
-
-def _substrings(rows: DataFrame, at, text, longest: int, *keep: str) -> DataFrame:
-    """``keep``, n and piece of the substrings of ``text`` that begin at ``at``."""
-    return rows.select(*keep, F.explode(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), F.length(text) - at)),
-        lambda n: F.struct(n.alias("n"), F.substring(text, at + 1, n).alias("piece")))).alias("p")).select(*keep, "p.n", "p.piece")
-
-
-def _short_paths(parts: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    starts = parts.select("uid", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    edges = _found(_substrings(starts, F.col("start"), F.col("word"), longest, "uid", "start"), pieces)
-    paths = edges.groupBy("uid").agg(F.array_sort(F.collect_list("e")).alias("edges"))
-    paths = paths.select("uid", _viterbi(F.col("edges")).alias("back"))
-    return paths.select("uid", _walk(F.col("back")).alias("path"))
-
+def _tree(pieces: list[tuple]) -> dict[str, tuple]:
+    """The pieces as a tree: character -> (children, id or -1, score)."""
+    top: dict = {}
+    for piece, i, score in pieces:
+        level = top
+        for c in piece[:-1]:
+            level = level.setdefault(c, [{}, -1, 0.0])[0]
+        level.setdefault(piece[-1], [{}, -1, 0.0])[1:] = i, score
+    fixed = lambda level: {c: (fixed(below), i, score) for c, (below, i, score) in level.items()}
+    return fixed(top)
+
+
+def _best_path(word: str, top: dict[str, tuple], zero: int, longest: int) -> list[int]:
+    """Ids of the path of highest score; of equal ones the last piece is the longer."""
+    n = len(word)
+    best, back, last = [0.0] + [float("-inf")] * n, [0] * (n + 1), [-1] * (n + 1)
+    for start in range(n):
+        so_far, level, end = best[start], top, start
+        for c in word[start:start + longest]:
+            edge = level.get(c)
+            if edge is None:
+                break
+            end += 1
+            level, i, score = edge
+            if i >= 0:
+                score += so_far
+                if score > best[end]:
+                    best[end], back[end], last[end] = score, start, i
+            if not level:
+                break
+        # byte pieces: below any piece, so they stand only where the character is none
+        if so_far + UNKNOWN > best[start + 1]:
+            best[start + 1], back[start + 1], last[start + 1] = so_far + UNKNOWN, start, -1
+    ids, at = [], n
+    while at:
+        if last[at] >= 0:
+            ids.append(last[at])
+        else:
+            ids += [zero + b for b in reversed(word[back[at]:at].encode())]
+        at = back[at]
+    return ids[::-1]
+
+
+class _Words(dict):
+    """(ids as 32-bit integers, decoded) of a word, both words without their first
+    meta space, made when it is first asked for."""
+
+    def __init__(self, pieces: list[tuple], letters: dict[int, bytes], zero: int, longest: int):
+        self.top, self.letters, self.zero, self.longest = _tree(pieces), letters, zero, longest
+
+    def __missing__(self, word: str) -> tuple[bytes, str]:
+        ids = _best_path(SPACE + word, self.top, self.zero, self.longest)
+        back = b"".join(map(self.letters.__getitem__, ids)).decode("utf-8", "replace")[1:]
+        got = array("i", ids).tobytes(), word if back == word else back
+        if len(word) <= LONG:
+            if len(self) >= CACHED:
+                self.clear()
+            self[word] = got
+        return got
+
+
+_held: dict[str, _Words] = {}
+
+
+def _task_words(token: str, shared: Broadcast, zero: int, longest: int) -> _Words:
+    """The words of an encoder; a reused worker keeps those of the last one for its next task."""
+    if token not in _held:
+        _held.clear()
+        _held[token] = _Words(*shared.value, zero, longest)
+    return _held[token]
+
+
+def _encoder(pieces: DataFrame, raw: DataFrame, zero: int, longest: int) -> Callable[[], _Words]:
+    """What gives a task its ``_Words``."""
+    # the vocabulary is bounded by the model file
+    shared = pieces.sparkSession.sparkContext.broadcast((
+        [(r.piece, r.id, r.score) for r in pieces.collect()], {r.id: bytes(r.raw) for r in raw.collect()}))
+    token, get = uuid.uuid4().hex, _task_words
+    return lambda: get(token, shared, zero, longest)
+
+
+def _id_lists(parts: list[bytes]) -> pa.Array:
+    ends = np.zeros(len(parts) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, parts), np.int32, len(parts)) // 4, out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+
+def _text_words(text: str) -> list[str]:
+    """As ``words``, without the first meta space of each."""
+    if not text:
+        return []
+    if "  " in text or text.startswith(" ") or SPACE in text:
+        return [w[1:] for w in _RUNS.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
+
+
+def encode_texts(docs: DataFrame, pieces: DataFrame, raw: DataFrame, zero: int, longest: int,
+                 keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``keys``, ids (an array for each word of the text), decoded (the text they
+    decode to) and round_trip (is that the text?), one row per row of ``docs``."""
+    make = _encoder(pieces, raw, zero, longest)
+    rows = docs.select(*keys, F.col(text).alias("_text"))
+    names = [*keys, "ids", "decoded", "round_trip"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = make()
+        for batch in batches:
+            for part, bodies in chunks(batch, "_text"):
+                bodies = [b.decode() for b in bodies]
+                each = [[known[w] for w in _text_words(t)] for t in bodies]
+                ends = pa.array(np.cumsum([0] + [len(e) for e in each]), pa.int32())
+                ids = pa.ListArray.from_arrays(ends, _id_lists([i for e in each for i, _ in e]))
+                back = [" ".join([w for _, w in e]).replace(SPACE, " ") for e in each]
+                same = [x == t for x, t in zip(back, bodies)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in range(len(keys))), ids, pa.array(back, pa.string()), pa.array(same, pa.bool_())], names)
+
+    schema = StructType(rows.schema.fields[:-1]).add("ids", ArrayType(ArrayType(IntegerType()))).add(
+        "decoded", "string").add("round_trip", "boolean")
+    return rows.mapInArrow(run, schema)
+
+
+def text_digests(encoded: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of ``digests`` from the rows of ``encode_texts``."""
+    places = F.transform("ids", lambda x, at: F.xxhash64(at, x))
+    return encoded.select(
+        *keys, F.size(F.flatten("ids")).cast("long").alias("n_tokens"),
+        F.aggregate(places, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h)).alias("ids_digest"), "round_trip")
+
+
+def encode_words(distinct: DataFrame, pieces: DataFrame, raw: DataFrame, zero: int, longest: int) -> DataFrame:
+    """``distinct`` (uid, word, n) with ids (array of int) and decoded."""
+    make = _encoder(pieces, raw, zero, longest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = make()
+        for batch in batches:
+            found = [known[w[1:]] for w in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, _id_lists([i for i, _ in found]), pa.array([SPACE + w for _, w in found], pa.string())],
+                ["uid", "word", "n", "ids", "decoded"])
 
-def _long_paths(parts: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    # characters are taken in blocks, so that no substring is searched from the word's start
-    blocks = parts.select("uid", F.regexp_extract_all("word", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("b"))
-    blocks = blocks.select("uid", F.explode(F.transform("b", lambda t, i: F.struct(
-        (i * BLOCK).alias("base"), F.length(t).alias("own"),
-        F.concat(t, F.coalesce(F.substring(F.get("b", i + 1), 1, longest), F.lit(""))).alias("text")))).alias("t"))
-    starts = blocks.select("uid", "t.*", F.explode(F.sequence(F.lit(0), F.col("t.own") - 1)).alias("s"))
-    starts = starts.withColumn("start", F.col("base") + F.col("s"))
-    edges = _found(_substrings(starts, F.col("s"), F.col("text"), longest, "uid", "start"), pieces)
-    # a stretch begins where no earlier edge reaches beyond, and is named by its first position
-    w = Window.partitionBy("uid").orderBy("e.start")
-    reach = F.coalesce(F.max("e.end").over(w.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = edges.withColumn("begin", F.when(reach <= F.col("e.start"), F.col("e.start")))
-    cut = cut.select("uid", "e", F.max("begin").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("part"))
-    paths = cut.groupBy("uid", "part").agg(F.array_sort(F.collect_list("e")).alias("edges"))
-    moved = F.transform("edges", lambda e: e.withField("start", e["start"] - F.col("part")).withField("end", e["end"] - F.col("part")))
-    paths = paths.select("uid", "part", _viterbi_long(moved, longest).alias("back"))
-    paths = paths.select("uid", "part", _walk_long(F.col("back")).alias("path"))
-    whole = paths.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("part", "path"))).alias("p"))
-    return whole.select("uid", F.flatten(F.col("p.path")).alias("path"))
-
-
-def _partitions(rows: DataFrame, size) -> int:
-    n = rows.agg(F.sum(size).alias("n")).first()["n"]
-    return 1 + int(n or 0) // PART_CHARS
-
-
-def encode_words(distinct: DataFrame, pieces: DataFrame, zero: int, longest: int) -> DataFrame:
-    """``distinct`` (uid, word), written, with ids (array of int)."""
-    # all rows of a word are made, joined and grouped in the partition of its uid; the number
-    # of partitions follows the characters, as a word's edges take many times its bytes
-    parts = distinct.repartition(_partitions(distinct, F.length("word")), "uid")
-    paths = _short_paths(parts.where(F.length("word") <= LONG), pieces, longest).unionByName(
-        _long_paths(parts.where(F.length("word") > LONG), pieces, longest))
-    as_bytes = lambda raw: F.transform(
-        F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda k: F.conv(F.substring(raw, k, F.lit(2)), 16, 10).cast("int") + zero)
-    ids = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(
-        as_bytes(F.hex(F.encode(e["raw"], "utf-8"))))))
-    return paths.select("uid", ids.alias("ids"))
-
-
-def decode_words(encoded: DataFrame, raw: DataFrame) -> DataFrame:
-    """(uid, ids, decoded) of written rows (uid, ids): the bytes of the pieces in order."""
-    rows = encoded.repartition(_partitions(encoded, F.size("ids")), "uid")
-    parts = rows.select("uid", F.posexplode("ids").alias("at", "id")).join(F.broadcast(raw), "id")
-    joined = parts.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("at", "id", F.hex("raw").alias("hex")))).alias("p"))
-    return joined.select("uid", F.col("p.id").alias("ids"),
-                         F.decode(F.unhex(F.array_join(F.col("p.hex"), "")), "utf-8").alias("decoded"))
+    rows = distinct.select("uid", "word", "n")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields]).add("ids", ArrayType(IntegerType())).add("decoded", "string"))
 
 
 def word_table(docs: DataFrame, pieces: DataFrame, raw: DataFrame, zero: int, longest: int,
@@ -218,8 +229,7 @@ def word_table(docs: DataFrame, pieces: DataFrame, raw: DataFrame, zero: int, lo
     """word, uid, n (occurrences), ids and decoded of every distinct word."""
     counted = docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counted = materialize(counted.withColumn("uid", F.monotonically_increasing_id()))
-    encoded = materialize(encode_words(counted.select("uid", "word"), pieces, zero, longest))
-    return materialize(counted.join(decode_words(encoded, raw), "uid"))
+    return materialize(encode_words(counted, pieces, raw, zero, longest))
 
 
 def encode(docs: DataFrame, table: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:

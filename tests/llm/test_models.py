@@ -90,6 +90,35 @@ def test_lattice_of_a_long_text_without_spaces(spark):
     assert row.decoded == row.word == "▁" + text and row.ids == _viterbi(row.word, score, zero)
 
 
+def test_lattice_of_whole_texts_is_that_of_their_words(spark):
+    """Rows of ``encode_texts`` agree with the joined words, and no word is shuffled or written for them."""
+    known = piece_lattice.load_pieces(spark, PIECES)
+    texts = [*TEXTS, "a  ", "b ", " ▁", "Hello  world\nthing ", None]
+    docs = spark.createDataFrame([(i if i % 5 else None, i, t) for i, t in enumerate(texts)], "doc_id long, rid long, text string")
+    keys = ("rid", "doc_id")
+    whole = piece_lattice.encode_texts(docs, *known, keys)
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    joined = piece_lattice.encode(docs, piece_lattice.word_table(docs, *known), keys)
+    ids = {r.rid: (r.ids or [], r.text or "") for r in piece_lattice.texts(joined, keys).collect()}
+    rows = whole.collect()
+    assert len(rows) == len(texts)
+    assert all((sum(r.ids, []), r.decoded) == ids[r.rid] for r in rows)
+    want = sorted(map(tuple, piece_lattice.digests(joined, keys).collect()), key=lambda r: r[0])
+    got = piece_lattice.text_digests(whole, keys)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == want
+    assert piece_lattice.encode_texts(docs.limit(0), *known, keys).count() == 0
+
+
+def test_lattice_cache_does_not_change_ids(spark, monkeypatch):
+    known = piece_lattice.load_pieces(spark, PIECES)
+    words = ["the", "and", "of", "the", "x" * 100, "the", "▁a", ""]
+    plain = piece_lattice._encoder(*known)()
+    want = [plain[w] for w in words]
+    monkeypatch.setattr(piece_lattice, "CACHED", 2)
+    small = piece_lattice._encoder(*known)()
+    assert [small[w] for w in words] == want and len(small) <= 2
+
+
 # -- quality classifier -----------------------------------------------------
 def test_classifier_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
