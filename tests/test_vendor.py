@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import vendor as V
+from ledgerlens.session import settings
 
 from .helpers import purchase_order, ts
 
@@ -32,6 +33,20 @@ def test_cumulative_share_and_tied_spend(spark):
         ("Tail Spend", "Tail Spend", "Major Spend")
 
 
+def test_lines_are_not_shuffled_for_few_items(spark, monkeypatch):
+    rows = [{"item_description": i, "po_no": n} for i, n in [("a", 1), ("a", 1), ("b", None), ("b", 2), (None, 3), ("c", None)]]
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        po = purchase_order(spark, rows)
+        few = V.vendor_spend_analysis(po)
+        few_plan, few_rows = few._jdf.queryExecution().executedPlan().toString(), few.collect()
+        monkeypatch.setattr(V, "ITEM_BYTES", 0)
+        many = V.vendor_spend_analysis(po)
+        many_plan, many_rows = many._jdf.queryExecution().executedPlan().toString(), many.collect()
+    lines = [p.split("\n")[1:4] for p in (few_plan, many_plan)]
+    assert any("BroadcastHashJoin" in x for x in lines[0]) and not any("BroadcastHashJoin" in x for x in lines[1])
+    assert sorted(map(str, few_rows)) == sorted(map(str, many_rows)) and len(few_rows) == 4
+
+
 def _deals_po(spark, rows):
     return V.vendor_spend_analysis(purchase_order(spark, rows))
 
