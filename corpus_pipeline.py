@@ -8,11 +8,13 @@ up to the last stage. ``n_chars`` follows the text.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import line_dedup, ngram_join, packing, pii, quality_knn
-from ledgerlens.llm.common import broadcast_if_small, materialize
+from ledgerlens.llm.common import broadcast_if_small, finished
 from ledgerlens.llm.queries import table, tokenizer_file
 
 
@@ -40,8 +42,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: the document with the smallest id of each group stays."""
-    joined = ngram_join.ngram_join(docs)
-    copies = materialize(joined.where("doc_id != component_id").select("doc_id").distinct())
+    copies = finished(lambda: ngram_join.ngram_join(docs).where("doc_id != component_id").select("doc_id").distinct())
     return docs.join(broadcast_if_small(copies), "doc_id", "left_anti").select(*docs.columns)
 
 
@@ -65,8 +66,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
+    """All stages over ``documents``, each written as Parquet and read again;
+    the other tables of a stage go with its end."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        docs = finished(partial(stage, spark, docs, sf_dir))
     return docs

@@ -1,6 +1,7 @@
 """Quality rules, URL filter, page text, line dedup, personal data."""
 
 import hashlib
+import os
 import random
 
 import pytest
@@ -261,6 +262,31 @@ def test_line_dedup_of_many_lines_with_one_passage(spark, monkeypatch):
         assert len(wrong) <= 1, (size, wrong)  # signatures may miss about 1 % of pairs at the limit
 
 
+def test_line_dedup_compares_few_lines_of_a_small_vocabulary(spark, monkeypatch):
+    # random lines of the same 40 words share many shingles; few of them are worth a comparison
+    rnd = random.Random(31)
+    vocab = ["".join(rnd.choice("aeioudnrst") for _ in range(rnd.randint(2, 7))) for _ in range(40)]
+    rows = [(k, " ".join(rnd.choice(vocab) for _ in range(40))) for k in range(300)]
+    for k in range(0, 300, 20):  # and near copies: the line without its last words
+        rows.append((1000 + k, " ".join(rows[k][1].split()[:34])))
+    compared, candidates = [], line_dedup._candidates
+    monkeypatch.setattr(line_dedup, "_candidates", lambda pairs, s: compared.append(pairs.count()) or candidates(pairs, s))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.line_dedup(docs).collect()}
+    want = dict(zip((d for d, _ in rows), brute.line_dedup(rows), strict=True))
+    assert sum(n for _, n in want.values()) == 15
+    assert got == want
+    assert sum(compared) < len(rows)
+
+
+def test_line_dedup_leaves_only_its_result_on_disk(spark):
+    tables = f"{spark.sparkContext.getCheckpointDir()}/tables".removeprefix("file:")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    out = line_dedup.line_dedup(spark.createDataFrame(_line_rows(), "doc_id long, text string").coalesce(1))
+    assert out.where("n_dropped > 0").count() > 30
+    assert len(set(os.listdir(tables)) - before) <= 2  # the numbered rows and the lines to drop
+
+
 def test_line_dedup_empty_and_repeated_rows(spark):
     assert line_dedup.line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     twice = spark.createDataFrame([(1, "same line"), (1, "same line"), (0, "same line\nown")], "doc_id long, text string")
